@@ -8,17 +8,11 @@ rows (or an entity twice), where a join repeats rows and the window does not.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklane.functions import squared_distance
-from tracklane.operators.skew import asc, chunked_row_number, hot_keys, split_hot
-
-
-def _has_key(keys) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+from tracklane.operators.skew import asc, chunked_row_number, has_values, hot_keys, split_hot
 
 
 def _is_entity(id_col, ref_id) -> Column:
@@ -28,7 +22,7 @@ def _is_entity(id_col, ref_id) -> Column:
 def _loose(keys, id_col, xy) -> Column:
     # Rows without a complete key belong to no moment. Spreading them by value
     # keeps them out of one common NULL group.
-    return F.when(~_has_key(keys), F.xxhash64(id_col, *xy))
+    return F.when(~has_values(keys), F.xxhash64(id_col, *xy))
 
 
 def _reference(id_col, ref_id, xy) -> Column:
@@ -43,7 +37,7 @@ def _with_distance(df: DataFrame, xy, out) -> DataFrame:
 def _reference_by_window(df, by, keys, id_col, ref_id, xy) -> DataFrame:
     """Add ``_ref``: the reference entity's position, NULL when there is none."""
     ref = _reference(id_col, ref_id, xy).over(Window.partitionBy(*by))
-    return df.withColumn("_ref", F.when(_has_key(keys), ref))
+    return df.withColumn("_ref", F.when(has_values(keys), ref))
 
 
 def _reference_by_lookup(df, keys, id_col, ref_id, xy) -> DataFrame:
@@ -106,7 +100,7 @@ def entity_distance_rank(
 
     def by_window(part: DataFrame) -> DataFrame:
         part = part.withColumn("_loose", _loose(keys, id_col, xy)).withColumn(
-            "_entity", _is_entity(id_col, ref_id) & _has_key(keys)
+            "_entity", _is_entity(id_col, ref_id) & has_values(keys)
         )
         found = _reference_by_window(part, [*keys, "_loose"], keys, id_col, ref_id, xy)
         window = Window.partitionBy(*keys, "_loose", "_entity").orderBy(*asc(order))
@@ -150,10 +144,10 @@ def entity_closest_flag(
         moment = Window.partitionBy(*keys)
         part = with_ball(_reference_by_window(part, keys, keys, id_col, ref_id, xy))
         return finish(
-            part.withColumn("_least", least.over(moment)).withColumn("_any", any_entity.over(moment))
+            part.withColumns({"_least": least.over(moment), "_any": any_entity.over(moment)})
         )
 
-    df = df.dropna(subset=keys)
+    df = df.where(has_values(keys))
     hot = hot_keys(df, keys)
     if hot is None:
         return by_window(df)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklane.operators.skew import asc, chunk_join, hot_keys, ordered_chunks, split_hot
+from tracklane.operators.skew import asc, chunk_join, has_values, hot_keys, ordered_chunks, split_hot
 
 
 def _starts_run(previous: Column, value: Column) -> Column:
@@ -30,7 +30,7 @@ def runs(
     within a partition for the numbering to be well defined.
     """
     partition, order = list(partition), list(order)
-    data = (df if where is None else df.where(where)).dropna(subset=partition)
+    data = (df if where is None else df.where(where)).where(has_values(partition))
     hot = hot_keys(data, partition)
     if hot is None:
         return _in_one_window(data, partition, order, value, run_id, run_length)
@@ -43,11 +43,11 @@ def runs(
 def _in_one_window(df, partition, order, value, run_id, run_length) -> DataFrame:
     ordered = Window.partitionBy(*partition).orderBy(*asc(order))
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = _starts_run(F.lag(value).over(ordered), F.col(value))
+    starts = _starts_run(F.col("_previous"), F.col(value))
     return (
-        df.withColumn("_starts", starts)
-        .withColumn(run_id, F.sum("_starts").over(running))
-        .drop("_starts")
+        df.withColumn("_previous", F.lag(value).over(ordered))
+        .withColumn(run_id, F.sum(starts).over(running))
+        .drop("_previous")
         .withColumn(run_length, F.count("*").over(Window.partitionBy(*partition, run_id)))
     )
 
@@ -65,17 +65,13 @@ def _in_chunks(df, partition, order, value, run_id, run_length) -> DataFrame:
     by = [*partition, *chunks]
     ordered = Window.partitionBy(*by).orderBy(*asc(order))
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    first = F.row_number().over(ordered) == 1
+    starts = F.when(F.col("_first"), 0).otherwise(_starts_run(F.col("_previous"), F.col(value)))
     local = (
-        df.withColumn("_first", first)
-        .withColumn(
-            "_starts",
-            F.when(F.col("_first"), 0).otherwise(
-                _starts_run(F.lag(value).over(ordered), F.col(value))
-            ),
+        df.withColumns(
+            {"_first": F.row_number().over(ordered) == 1, "_previous": F.lag(value).over(ordered)}
         )
-        .withColumn("_local", F.sum("_starts").over(running))
-        .drop("_starts")
+        .withColumn("_local", F.sum(starts).over(running))
+        .drop("_previous")
         .withColumn("_length", F.count("*").over(Window.partitionBy(*by, "_local")))
     )
 

@@ -36,6 +36,11 @@ def asc(columns) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+def has_values(columns) -> Column:
+    """All of the columns are set. Written out so that the scan can use it."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def _setting(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
@@ -76,7 +81,7 @@ def hot_keys(df: DataFrame, keys) -> DataFrame | None:
     """
     if not worth_probing(df):
         return None
-    hashed = df.dropna(subset=list(keys)).select(*keys, F.xxhash64(*keys).alias("_hash"))
+    hashed = df.where(has_values(keys)).select(*keys, F.xxhash64(*keys).alias("_hash"))
     found = hashed.stat.freqItems(["_hash"], HOT_SHARE).head()
     candidates = list(found[0] or []) if found else []
     if not candidates:

@@ -67,7 +67,7 @@ OUTPUT = [
 
 # How an action finds its texts. The first group keeps actions without a match,
 # the second drops them.
-BY_SUBCODE, BY_TYPE, SHOT_LIST, NO_LOOKUP = "subcode", "type", "shot", "none"
+BY_SUBCODE, BY_TYPE, NO_LOOKUP = "subcode", "type", "none"
 FREE_THROWS, REBOUNDS, OUT_OF_BOUNDS = "free throw", "rebound", "out of bounds"
 MUST_MATCH = (FREE_THROWS, REBOUNDS, OUT_OF_BOUNDS)
 
@@ -94,7 +94,7 @@ def _lookup(codes: DataFrame) -> DataFrame:
         # Turnover code 40 is described by subcode 3.
         entry(OUT_OF_BOUNDS, any_code, F.col("event_subcode") == 3),
     )
-    from_codes = (
+    return (
         with_message_type(codes)
         .where(F.col("eventmsgtype").isNotNull())
         .withColumn("_e", F.explode(entries))
@@ -107,34 +107,28 @@ def _lookup(codes: DataFrame) -> DataFrame:
             F.col("event_subaction").alias("found_subaction"),
         )
     )
-    shots = codes.sparkSession.createDataFrame(
-        [
-            (SHOT_LIST, float(kind), float(code), action, text)
-            for kind, action, texts in (
-                (MADE, "field goal made", SHOT_TEXTS),
-                (MISSED, "field goal missed", MISSED_SHOT_TEXTS),
-            )
-            for code, text in texts.items()
-        ],
-        from_codes.schema,
-    )
-    return from_codes.unionAll(shots)
 
 
 def _either(pattern: str) -> Column:
     return F.col("homedescription").like(pattern) | F.col("visitordescription").like(pattern)
 
 
-def _action(slot: int, lookup: str, action=None, detail=None, kind=None) -> Column:
-    """One candidate action of an event. ``action`` and ``detail`` are texts that
-    do not come from the lookup; ``kind`` replaces the event's message type."""
-    by_code = lookup in (BY_SUBCODE, SHOT_LIST, FREE_THROWS)
+def _action(slot: int, lookup: str, action=None, text=None, detail=None, kind=None) -> Column:
+    """One candidate action of an event. ``action`` and ``text`` replace what the
+    lookup would give, ``kind`` the event's message type; ``detail`` is the third
+    level, which no lookup has."""
+
+    def column(value) -> Column:
+        return value if isinstance(value, Column) else F.lit(value).cast("string")
+
+    by_code = lookup in (BY_SUBCODE, FREE_THROWS)
     return F.struct(
         F.lit(slot).alias("slot"),
         F.lit(lookup).alias("lookup"),
         (F.col("eventmsgactiontype").cast("double") if by_code else F.lit(-1.0)).alias("code"),
-        (action if isinstance(action, Column) else F.lit(action).cast("string")).alias("action"),
-        (detail if isinstance(detail, Column) else F.lit(detail).cast("string")).alias("detail"),
+        column(action).alias("action"),
+        column(text).alias("text"),
+        column(detail).alias("detail"),
         F.lit(kind).cast("double").alias("kind"),
     )
 
@@ -142,22 +136,29 @@ def _action(slot: int, lookup: str, action=None, detail=None, kind=None) -> Colu
 def _actions() -> Column:
     """Array of candidate actions by message type; entries that do not apply are NULL."""
     kind, code = F.col("eventmsgtype"), F.col("eventmsgactiontype")
-    listed = code.isin(*SHOT_TEXTS)
 
-    def shot(outcome: str) -> Column:
+    def shot(outcome: str, texts: dict) -> Column:
         points = F.when(_either("% 3PT %"), f"3pt {outcome}").otherwise(f"2pt {outcome}")
-        return F.when(listed, _action(1, SHOT_LIST, detail=points)).when(
-            ~listed, _action(1, BY_SUBCODE, detail=points)
+        pairs = [F.lit(v) for code, text in texts.items() for v in (float(code), text)]
+        listed = _action(
+            1,
+            NO_LOOKUP,
+            action=f"field goal {outcome}",
+            text=F.try_element_at(F.create_map(*pairs), code.cast("double")),
+            detail=points,
+        )
+        return F.when(code.isin(*texts), listed).when(
+            ~code.isin(*texts), _action(1, BY_SUBCODE, detail=points)
         )
 
     outcome = F.when(_either("MISS %"), "free throw missed").otherwise("free throw made")
     has_second = F.col("player2_id").isNotNull()
     table = {
         MADE: [
-            shot("made"),
+            shot("made", SHOT_TEXTS),
             F.when(_either("% AST)"), _action(2, NO_LOOKUP, action="assist", kind=ASSIST)),
         ],
-        MISSED: [shot("missed")],
+        MISSED: [shot("missed", MISSED_SHOT_TEXTS)],
         FREE_THROW: [_action(1, FREE_THROWS, action=outcome)],
         REBOUND: [_action(1, REBOUNDS, action="rebound")],
         TURNOVER: [
@@ -216,7 +217,7 @@ def player_actions(
         "left",
     )
     unmatched = F.col("lookup").isNull() & F.col("_a.lookup").isin(*MUST_MATCH)
-    text = F.col("found_subaction")
+    text = F.coalesce(F.col("_a.text"), F.col("found_subaction"))
     free_throw_kind = (
         F.when(text.like("% flagrant%"), "flagrant")
         .when(text.like("% technical%"), "technical")
