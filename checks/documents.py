@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.adapters import GAME_LOG, PLAY_BY_PLAY_12H, adapt, table
-from tracklane.sources import schemas
+from tracklane.sources import readers, schemas
 
 
 def _json(*parts) -> Column:
@@ -17,6 +17,12 @@ def _json(*parts) -> Column:
     return F.concat(*[F.coalesce(t, F.lit("null")) for t in texts])
 
 
+def _parsed(rows: DataFrame, document: Column) -> DataFrame:
+    # The generator makes each document a value of its own. As a plain expression
+    # it would be parsed again by every filter that is inferred from it.
+    return rows.select(F.explode_outer(F.array(document)).alias("d")).select("d.*")
+
+
 def tracking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A game per order: two events with zero to two moments of two entities."""
     key, price = F.col("o_orderkey"), F.col("o_totalprice")
@@ -53,10 +59,9 @@ def tracking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         '{"gamedate":"', F.col("o_orderdate").cast("date"), '","gameid":"',
         F.lpad(key.cast("string"), 10, "0"), '","events":[', event(0), ",", event(1), "]}",
     )
-    docs = table(spark, sf_dir, "orders").select(
-        F.from_json(text, schemas.TRACKING_DOCUMENT).alias("d")
+    return _parsed(
+        table(spark, sf_dir, "orders"), F.from_json(text, schemas.TRACKING_DOCUMENT)
     )
-    return docs.select("d.*")
 
 
 def result_set_documents(rows: DataFrame, name: str, extra: str = "") -> DataFrame:
@@ -69,8 +74,7 @@ def result_set_documents(rows: DataFrame, name: str, extra: str = "") -> DataFra
         values,
         F.lit(f"]}}{extra}]}}"),
     )
-    docs = rows.select(F.from_json(text, schemas.RESULT_SET_DOCUMENT).alias("d"))
-    return docs.select("d.*")
+    return _parsed(rows, F.from_json(text, schemas.RESULT_SET_DOCUMENT))
 
 
 VIDEO_SET = ',{"name":"AvailableVideo","headers":["VIDEO_AVAILABLE_FLAG"],"rowSet":[[1]]}'
@@ -118,11 +122,6 @@ def event_code_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<event id="'), key, F.lit('" text="'), F.col("p_name"), F.lit('">'),
         F.when(F.col("p_partkey") % 3 > 0, detail).otherwise(F.lit("")), F.lit("</event>"),
     )
-    schema = "_id int, _text string, detail array<struct<_id:int,_text:string>>"
-    return table(spark, sf_dir, "part").select(F.from_xml(text, schema).alias("e")).select(
-        F.col("e._id").alias("id"),
-        F.col("e._text").alias("text"),
-        F.transform(
-            "e.detail", lambda d: F.struct(d["_id"].alias("id"), d["_text"].alias("text"))
-        ).alias("detail"),
+    return readers.event_elements(
+        _parsed(table(spark, sf_dir, "part"), F.from_xml(text, readers.EVENT_ELEMENT))
     )

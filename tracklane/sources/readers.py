@@ -44,13 +44,12 @@ def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
 
 
-def read_event_codes(spark: SparkSession, path) -> DataFrame:
-    """Event-code XML: one row per event with an array of details."""
-    schema = (
-        "_id int, _text string, detail array<struct<_id:int,_text:string,_VALUE:string>>"
-    )
-    events = spark.read.format("xml").option("rowTag", "event").schema(schema).load(path)
-    return events.select(
+EVENT_ELEMENT = "_id int, _text string, detail array<struct<_id:int,_text:string,_VALUE:string>>"
+
+
+def event_elements(elements: DataFrame) -> DataFrame:
+    """Parsed <event> elements as (id, text, array of details)."""
+    return elements.select(
         F.col("_id").alias("id"),
         F.col("_text").alias("text"),
         F.transform(
@@ -59,6 +58,12 @@ def read_event_codes(spark: SparkSession, path) -> DataFrame:
     )
 
 
+def read_event_codes(spark: SparkSession, path) -> DataFrame:
+    """Event-code XML: one row per event with an array of details."""
+    reader = spark.read.format("xml").option("rowTag", "event").schema(EVENT_ELEMENT)
+    return event_elements(reader.load(path))
+
+
 def read_table(spark: SparkSession, path, schema: str) -> DataFrame:
     """A partitioned Parquet table. The schema also fixes the types of the
     partition columns, so zero-padded game ids stay text."""

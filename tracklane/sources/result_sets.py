@@ -19,17 +19,22 @@ def result_sets_to_df(docs: DataFrame, ddl: str, season: str = SEASON) -> DataFr
     found once, before its rows are expanded.
     """
     wanted = schemas.columns(ddl)
-    sets = docs.select(F.explode("resultSets").alias("s")).select(
-        F.col("s.name").alias("result_set"),
-        F.transform("s.headers", lambda h: F.lower(h)).alias("_headers"),
-        F.col("s.rowSet").alias("_rows"),
-    )
     names = F.array(*[F.lit(n) for n, _ in wanted])
-    placed = sets.select(
-        "result_set",
-        "_rows",
+    # Headers are lowered before the sets are expanded: afterwards the positions
+    # below would lower them again for every column.
+    lowered = F.transform(
+        "resultSets",
+        lambda s: F.struct(
+            s["name"].alias("name"),
+            F.transform(s["headers"], lambda h: F.lower(h)).alias("headers"),
+            s["rowSet"].alias("rows"),
+        ),
+    )
+    placed = docs.select(F.explode(lowered).alias("s")).select(
+        F.col("s.name").alias("result_set"),
+        F.col("s.rows").alias("_rows"),
         F.transform(
-            names, lambda n: (F.array_position(F.col("_headers"), n) - 1).cast("int")
+            names, lambda n: (F.array_position(F.col("s.headers"), n) - 1).cast("int")
         ).alias("_at"),
     )
     rows = placed.select("result_set", "_at", F.explode("_rows").alias("_row"))
