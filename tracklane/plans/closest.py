@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tracklane.operators.keyed import append_distinct
 from tracklane.operators.nearest import entity_closest_flag, entity_distance, entity_distance_rank
 from tracklane.operators.runs import runs
+from tracklane.operators.skew import worth_probing
+from tracklane.session import settle
 
 BALL = -1
 MOMENT = ["season", "gameid", "eventid", "moment_num"]
@@ -113,7 +115,12 @@ def possession_runs(flags: DataFrame, has_ball_dist_sq: float = 4) -> DataFrame:
 
 
 def game_possession(positions: DataFrame, has_ball_dist_sq: float = 4) -> DataFrame:
-    return possession_runs(closest_flags(positions), has_ball_dist_sq)
+    flags = closest_flags(positions).where("closest_to_ball")
+    if worth_probing(positions):
+        # Looking for large games reads the rows several times; keep the few that
+        # are closest instead of ranking all positions again.
+        flags = settle(flags)
+    return possession_runs(flags, has_ball_dist_sq)
 
 
 def merge_possession(existing: DataFrame, new: DataFrame) -> DataFrame:
