@@ -28,6 +28,8 @@ HOT_ROWS_KEY, HOT_ROWS = "tracklane.skew.hotRows", 5_000_000
 PROBE_BYTES_KEY, PROBE_BYTES = "tracklane.skew.probeBytes", 4 << 30
 # Small frames are broadcast only up to this many rows.
 BROADCAST_ROWS = 200_000
+# Buckets of the first count; a bucket's even share stays well below HOT_SHARE.
+_BUCKETS = 8192
 # Chunks per expected chunk, to even out uneven values.
 _SPREAD = 4
 
@@ -74,26 +76,28 @@ def bounded_broadcast(df: DataFrame, beside: DataFrame) -> DataFrame:
 def hot_keys(df: DataFrame, keys) -> DataFrame | None:
     """Keys that hold so many rows that one task should not take them alone.
 
-    One pass of the built-in frequent-items sketch over a hash of the key finds
-    every key above ``HOT_SHARE`` (it may name others too, never misses one) and
-    returns at most ``1 / HOT_SHARE`` candidates. A second pass counts exactly
-    those. NULL keys are left out. None means there is no such key.
+    Rows are first counted by a small hash of the key, which needs no shuffle worth
+    mentioning and rules out nearly all keys: a hot key makes its bucket large.
+    Only the keys in large buckets are then counted one by one. NULL keys are left
+    out. None means there is no such key.
     """
     if not worth_probing(df):
         return None
-    hashed = df.where(has_values(keys)).select(*keys, F.xxhash64(*keys).alias("_hash"))
-    found = hashed.stat.freqItems(["_hash"], HOT_SHARE).head()
-    candidates = list(found[0] or []) if found else []
-    if not candidates:
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS)).cast("int")
+    bucketed = df.where(has_values(keys)).select(*keys, bucket.alias("_bucket"))
+    sizes = {r[0]: r[1] for r in bucketed.groupBy("_bucket").count().collect()}
+    least = max(_setting(df, HOT_ROWS_KEY, HOT_ROWS), HOT_SHARE * sum(sizes.values()))
+    large = [b for b, rows in sizes.items() if rows > least]
+    if not large:
         return None
     counts = (
-        hashed.where(F.col("_hash").isin(candidates))
+        bucketed.where(F.col("_bucket").isin(large))
         .groupBy(*keys)
         .count()
-        .where(F.col("count") > _setting(df, HOT_ROWS_KEY, HOT_ROWS))
+        .where(F.col("count") > least)
         .select(*keys)
     )
-    rows = counts.collect()  # each holds more than hotRows rows, so there are few
+    rows = counts.collect()  # fewer than 1 / HOT_SHARE, as each has a larger share
     return df.sparkSession.createDataFrame(rows, counts.schema) if rows else None
 
 
@@ -124,7 +128,8 @@ def _position(df: DataFrame, name: str) -> Column:
 
 
 def ordered_chunks(df: DataFrame, keys, order) -> tuple[DataFrame, list[str]]:
-    """Add chunk columns that split every oversized group along ``order``.
+    """Add chunk columns that split every oversized group along ``order``. Keys
+    must not be NULL; chunk columns never are.
 
     Sorting by (chunk columns, order) equals sorting by order. A group is cut
     into equal steps between its lowest and highest value; chunks that are still
@@ -168,8 +173,6 @@ def ordered_chunks(df: DataFrame, keys, order) -> tuple[DataFrame, list[str]]:
 
 
 def _cut(df, stats, by, p, limit, chunk, small) -> DataFrame:
-    right = stats.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_n", "_lo", "_hi")
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by])
     steps = F.ceil(F.col("_n") / limit) * _SPREAD
     span = F.col("_hi") - F.col("_lo")
     # -1 below, steps above, steps + 1 for NULL, which sorts last. Infinite
@@ -183,22 +186,17 @@ def _cut(df, stats, by, p, limit, chunk, small) -> DataFrame:
         .otherwise(F.lit(0))
     )
     return (
-        df.join(F.broadcast(right) if small else right, on, "left")
+        df.join(F.broadcast(stats) if small else stats, by, "left")
         .withColumn(chunk, step.cast("bigint"))
-        .drop(*right.columns)
+        .drop("_n", "_lo", "_hi")
     )
 
 
 def chunk_join(df: DataFrame, summary: DataFrame, by) -> DataFrame:
-    """Join per-chunk values back onto rows; a NULL key matches a NULL key."""
+    """Join per-chunk values back onto the rows of the chunk."""
     done = settle(summary)
     small = done.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    values = [c for c in done.columns if c not in by]
-    right = done.select(*[F.col(c).alias(f"_k_{c}") for c in by], *values)
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by])
-    return df.join(F.broadcast(right) if small else right, on, "left").drop(
-        *[f"_k_{c}" for c in by]
-    )
+    return df.join(F.broadcast(done) if small else done, by, "left")
 
 
 def chunked_row_number(df: DataFrame, keys, order, out: str) -> DataFrame:
