@@ -122,6 +122,33 @@ def test_load_tracking_quarantines_and_reloads(spark, rows, tmp_path):
     assert "gameid" in scan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_refresh_closest_to_ball(spark, rows, tmp_path, request):
+    for game in ("0021500492", "0021500493"):
+        put(tmp_path / "raw", f"{game}.json", document(game))
+    positions = tracking.flatten_positions(readers.read_tracking(spark, str(tmp_path / "raw")))
+    target, log = str(tmp_path / "closest"), str(tmp_path / "log")
+    loads.refresh_closest_to_ball(positions, target, log, "t1", game_range=(21500492, 21500492))
+    loads.refresh_closest_to_ball(positions, target, log, "t2", pending_only=True)
+    done = writers.load_manifest(spark, log, schemas.DERIVED_MANIFEST)
+    assert rows(done, "gameid", "lastuploadDTS") == [("0021500492", "t1"), ("0021500493", "t2")]
+    expected = rows(closest_to_ball(positions))
+    assert rows(readers.read_table(spark, target, schemas.CLOSEST_TO_BALL)) == expected
+    # The same with games that count as too large for one task.
+    request.getfixturevalue("small_groups")
+    spark.conf.set("tracklane.skew.hotRows", "3")
+    again = str(tmp_path / "again")
+    loads.refresh_closest_to_ball(positions, again, str(tmp_path / "log2"), "t3")
+    assert rows(readers.read_table(spark, again, schemas.CLOSEST_TO_BALL)) == expected
+
+
+def test_one_exchange_from_positions_to_files(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.createDataFrame([], schemas.GAME_POSITION).write.parquet(path)
+    rows = readers.read_table(spark, path, schemas.GAME_POSITION).repartition("season", "gameid")
+    plan = closest_to_ball(rows, split_large=False)._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Exchange") == 1
+
+
 PBP_HEADERS = [n.upper() for n, _ in schemas.columns(schemas.PLAY_BY_PLAY)]
 
 

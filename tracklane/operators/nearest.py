@@ -4,6 +4,9 @@ The default form computes everything with windows over the moment key, so a tabl
 is exchanged once and never joined to itself. ``method="join"`` is the same
 relation written as joins; it differs only when a moment holds several reference
 rows (or an entity twice), where a join repeats rows and the window does not.
+
+``split_large=False`` leaves out the search for moments too large for one task, for
+callers that know there are none.
 """
 
 from __future__ import annotations
@@ -48,7 +51,14 @@ def _reference_by_lookup(df, keys, id_col, ref_id, xy) -> DataFrame:
 
 
 def entity_distance(
-    df: DataFrame, moment_keys, id_col, ref_id, xy, out="distance_sq", method="window"
+    df: DataFrame,
+    moment_keys,
+    id_col,
+    ref_id,
+    xy,
+    out="distance_sq",
+    method="window",
+    split_large: bool = True,
 ) -> DataFrame:
     """Every row plus its squared distance to the reference entity of its moment."""
     keys, columns = list(moment_keys), [*df.columns, out]
@@ -64,7 +74,7 @@ def entity_distance(
         found = _reference_by_window(part, [*keys, "_loose"], keys, id_col, ref_id, xy)
         return _with_distance(found, xy, out).select(*columns)
 
-    hot = hot_keys(df, keys)
+    hot = hot_keys(df, keys) if split_large else None
     if hot is None:
         return by_window(df)
     rest, large = split_hot(df, keys, hot)
@@ -82,6 +92,7 @@ def entity_distance_rank(
     out="distance_sq",
     rank="rank",
     method="window",
+    split_large: bool = True,
 ) -> DataFrame:
     """``entity_distance`` plus the rank of each entity, nearest first.
 
@@ -111,7 +122,7 @@ def entity_distance_rank(
             .select(*columns)
         )
 
-    hot = hot_keys(df, keys)
+    hot = hot_keys(df, keys) if split_large else None
     if hot is None:
         return by_window(df)
     rest, large = split_hot(df, keys, hot)

@@ -60,7 +60,9 @@ def ball_distance(positions: DataFrame, season=None, game_range=None, method="wi
     )
 
 
-def closest_to_ball(positions: DataFrame, season=None, game_range=None, method="window") -> DataFrame:
+def closest_to_ball(
+    positions: DataFrame, season=None, game_range=None, method="window", split_large=True
+) -> DataFrame:
     ranked = entity_distance_rank(
         in_games(positions, season, game_range),
         MOMENT,
@@ -71,6 +73,7 @@ def closest_to_ball(positions: DataFrame, season=None, game_range=None, method="
         out="distance_from_ball_sq",
         rank="closest_to_ball_rank",
         method=method,
+        split_large=split_large,
     )
     return ranked.select(*CLOSEST_COLUMNS)
 

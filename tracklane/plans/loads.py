@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from tracklane.functions import matchup_teams, season_long
 from tracklane.operators.firsts import first_per_group
-from tracklane.operators.keyed import append_manifest, upsert_manifest
+from tracklane.operators.keyed import append_manifest, pending, upsert_manifest
+from tracklane.operators.skew import bounded_broadcast, hot_keys
+from tracklane.plans.closest import closest_to_ball, in_games
 from tracklane.plans.shooting_side import game_team_pairs
 from tracklane.session import settle
 from tracklane.sources import result_sets, schemas, tracking
@@ -28,14 +30,16 @@ def load_tracking(
     manifest_path: str,
     loaded_at: str,
     season: str = tracking.SEASON,
+    multiline: bool = True,
 ) -> DataFrame:
     """Tracking documents → gameinfo, gameposition, playerinfo, teaminfo.
 
     Returns the documents that could not be parsed. The documents are read twice:
     once for their short heads, from which the small tables are made, and once for
-    the positions.
+    the positions. With one document per file a task holds whole games, and the
+    positions are written without a shuffle.
     """
-    docs = read_tracking(spark, source)
+    docs = read_tracking(spark, source, multiline)
     first = F.get("events", F.lit(0))
     heads = settle(
         docs.select(
@@ -48,7 +52,8 @@ def load_tracking(
         )
     )
     good = heads.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    write_table(tracking.flatten_positions(docs, season), f"{target}/gameposition")
+    positions = tracking.flatten_positions(docs, season)
+    write_table(positions, f"{target}/gameposition", rebalance=not multiline)
     write_table(tracking.flatten_game(good, season), f"{target}/gameinfo")
     write_table(tracking.flatten_players(good, season), f"{target}/playerinfo")
     write_table(tracking.flatten_teams(good, season), f"{target}/teaminfo")
@@ -180,11 +185,12 @@ def refresh_derived(
     manifest_path: str,
     loaded_at: str,
     params: str = "",
+    rebalance: bool = True,
 ) -> None:
     """Write a derived table (closest to ball, player actions, shooting side) for
     the games it holds and record them. Existing data of those games is replaced."""
     spark = derived.sparkSession
-    write_table(derived, target)
+    write_table(derived, target, rebalance=rebalance)
     written = derived.select("season", "gameid").distinct()
     rows = written.select(
         "season",
@@ -197,6 +203,33 @@ def refresh_derived(
     save_manifest(upsert_manifest(manifest, rows, ["gameid"], "lastuploadDTS"), manifest_path)
 
 
+def refresh_closest_to_ball(
+    positions: DataFrame,
+    target: str,
+    manifest_path: str,
+    loaded_at: str,
+    season=None,
+    game_range=None,
+    pending_only: bool = False,
+) -> None:
+    """Rank the positions of the given (or of all not yet recorded) games and write
+    them by game.
+
+    Unless some game is too large for one task, rows are brought together by game:
+    that one exchange serves the ranking and the write.
+    """
+    rows = in_games(positions, season, game_range)
+    if pending_only:
+        manifest = load_manifest(positions.sparkSession, manifest_path, schemas.DERIVED_MANIFEST)
+        todo = pending(rows, manifest, "gameid", done=F.col("uploadedFLG") == 1)
+        rows = rows.join(bounded_broadcast(todo, rows), "gameid", "left_semi")
+    whole_games = hot_keys(rows, ["season", "gameid"]) is None
+    if whole_games:
+        rows = rows.repartition("season", "gameid")
+    ranked = closest_to_ball(rows, split_large=not whole_games)
+    refresh_derived(ranked, target, manifest_path, loaded_at, rebalance=not whole_games)
+
+
 def shooting_side_manifest(sides: DataFrame, loaded_at: str) -> DataFrame:
     """One manifest row per game of a shooting-side table, with both team codes."""
     pairs = game_team_pairs(sides, "gameid", "team_abbreviation", where="period = 1")

@@ -21,13 +21,21 @@ def _placed(df: DataFrame, partition_by, sort_by) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by=GAME_PARTITION, sort_by=(), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by=GAME_PARTITION,
+    sort_by=(),
+    mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> None:
     """Write snappy Parquet by partition. Overwriting replaces only the partitions
-    present in ``df``: re-running a game replaces that game."""
+    present in ``df``: re-running a game replaces that game.
+
+    ``rebalance=False`` saves the shuffle where tasks already hold whole partitions.
+    """
+    placed = _placed(df, partition_by, sort_by) if rebalance else df
     (
-        _placed(df, partition_by, sort_by)
-        .write.mode(mode)
+        placed.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*partition_by)
