@@ -19,7 +19,6 @@ def result_sets_to_df(docs: DataFrame, ddl: str, season: str = SEASON) -> DataFr
     found once, before its rows are expanded.
     """
     wanted = schemas.columns(ddl)
-    names = F.array(*[F.lit(n) for n, _ in wanted])
     # Headers are lowered before the sets are expanded: afterwards the positions
     # below would lower them again for every column.
     lowered = F.transform(
@@ -33,8 +32,8 @@ def result_sets_to_df(docs: DataFrame, ddl: str, season: str = SEASON) -> DataFr
     placed = docs.select(F.explode(lowered).alias("s")).select(
         F.col("s.name").alias("result_set"),
         F.col("s.rows").alias("_rows"),
-        F.transform(
-            names, lambda n: (F.array_position(F.col("s.headers"), n) - 1).cast("int")
+        F.array(
+            *[(F.array_position("s.headers", F.lit(n)) - 1).cast("int") for n, _ in wanted]
         ).alias("_at"),
     )
     rows = placed.select("result_set", "_at", F.explode("_rows").alias("_row"))
