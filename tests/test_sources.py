@@ -247,6 +247,25 @@ def test_gamelog_then_stats(spark, rows, tmp_path):
     ) == [("02", 1), ("03", 0)]
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_csv_loads(spark, rows, tmp_path, request, large):
+    if large:
+        request.getfixturevalue("small_groups")
+    schema = "game_id string, player_id int, name string"
+    table, csv = str(tmp_path / "t"), tmp_path / "new.csv"
+    spark.createDataFrame([("02", 1, "old"), ("02", 1, "old")], schema).write.parquet(table)
+    csv.write_text("game_id,player_id,name\n02,1,new\n02,2,\n03,2,b\n03,2,a\n")
+    version = str(tmp_path / "t2")
+    loads.append_csv_distinct(spark, str(csv), table, schema, version)
+    assert rows(readers.read_table(spark, version, schema)) == [
+        ("02", 1, "new"), ("02", 1, "old"), ("02", 2, None), ("03", 2, "a"), ("03", 2, "b"),
+    ]
+    loads.insert_csv(spark, str(csv), table, schema, ["game_id", "player_id"], ["name"])
+    assert rows(readers.read_table(spark, table, schema)) == [
+        ("02", 1, "old"), ("02", 1, "old"), ("02", 2, None), ("03", 2, "a"),
+    ]
+
+
 def test_shooting_side_manifest(spark, rows):
     sides = spark.createDataFrame(
         [("2015-10-27", "DET", 1.0, "s", "02"), ("2015-10-27", "ATL", 1.0, "s", "02"),

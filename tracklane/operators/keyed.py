@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklane.operators.firsts import first_per_group
+from tracklane.operators.skew import counted, worth_probing
 
 
 def dedupe_by_key(df: DataFrame, keys, order) -> DataFrame:
@@ -19,9 +20,14 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys, order) -> DataFrame
     """The rows to append: ``new`` reduced to one row per key, without the keys
     that ``existing`` already has."""
     keys = list(keys)
-    return dedupe_by_key(new, keys, order).join(existing.select(*keys), keys, "left_anti").select(
-        *new.columns
-    )
+    fresh, present = dedupe_by_key(new, keys, order), existing.select(*keys)
+    if worth_probing(existing):
+        # Keep a large table in place when the batch is small: only its keys that
+        # occur in the batch go on to the join.
+        batch, small = counted(fresh.select(*keys))
+        if small:
+            present = present.join(F.broadcast(batch), keys, "left_semi")
+    return fresh.join(present, keys, "left_anti").select(*new.columns)
 
 
 def append_distinct(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -29,10 +35,6 @@ def append_distinct(existing: DataFrame, new: DataFrame) -> DataFrame:
     return new.unionByName(existing.distinct())
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    return df.distinct()
-
-
 def check_columns(df: DataFrame, columns) -> DataFrame:
     """Return ``df`` unchanged, or fail when its columns or their order differ."""
     if df.columns != list(columns):

@@ -60,6 +60,12 @@ def worth_probing(df: DataFrame) -> bool:
     return size is None or size >= _setting(df, PROBE_BYTES_KEY, PROBE_BYTES)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df`` computed once, and whether it is small enough to broadcast."""
+    done = settle(df)
+    return done, done.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def bounded_broadcast(df: DataFrame, beside: DataFrame) -> DataFrame:
     """Mark a derived frame for broadcast once its row count is known to be small.
 
@@ -69,8 +75,8 @@ def bounded_broadcast(df: DataFrame, beside: DataFrame) -> DataFrame:
     """
     if not worth_probing(beside):
         return df
-    done = settle(df)
-    return F.broadcast(done) if done.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else done
+    done, small = counted(df)
+    return F.broadcast(done) if small else done
 
 
 def hot_keys(df: DataFrame, keys) -> DataFrame | None:
@@ -162,12 +168,11 @@ def ordered_chunks(df: DataFrame, keys, order) -> tuple[DataFrame, list[str]]:
                 .where((F.col("_n") > limit) & F.col("_tied"))
                 .drop("_tied")
             )
-            large = settle(stats)
-            rows = large.limit(BROADCAST_ROWS + 1).count()
-            if rows == 0:
+            large, small = counted(stats)
+            if large.isEmpty():
                 break
             chunk = f"_chunk{len(chunks)}"
-            df = _cut(df, large, by, p, limit, chunk, rows <= BROADCAST_ROWS)
+            df = _cut(df, large, by, p, limit, chunk, small)
             chunks.append(chunk)
     return df, chunks
 
@@ -194,8 +199,7 @@ def _cut(df, stats, by, p, limit, chunk, small) -> DataFrame:
 
 def chunk_join(df: DataFrame, summary: DataFrame, by) -> DataFrame:
     """Join per-chunk values back onto the rows of the chunk."""
-    done = settle(summary)
-    small = done.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    done, small = counted(summary)
     return df.join(F.broadcast(done) if small else done, by, "left")
 
 

@@ -11,13 +11,25 @@ from pyspark.sql import functions as F
 
 from tracklane.functions import matchup_teams, season_long
 from tracklane.operators.firsts import first_per_group
-from tracklane.operators.keyed import append_manifest, pending, upsert_manifest
+from tracklane.operators.keyed import (
+    append_distinct,
+    append_manifest,
+    insert_ignore,
+    pending,
+    upsert_manifest,
+)
 from tracklane.operators.skew import bounded_broadcast, hot_keys
 from tracklane.plans.closest import closest_to_ball, in_games
 from tracklane.plans.shooting_side import game_team_pairs
 from tracklane.session import settle
 from tracklane.sources import result_sets, schemas, tracking
-from tracklane.sources.readers import CORRUPT, read_result_sets, read_tracking
+from tracklane.sources.readers import (
+    CORRUPT,
+    read_csv_table,
+    read_result_sets,
+    read_table,
+    read_tracking,
+)
 from tracklane.sources.writers import load_manifest, save_manifest, write_table
 
 _TABLES = ("gameinfo", "gameposition", "playerinfo", "teaminfo")
@@ -179,6 +191,26 @@ def load_stats(
     save_manifest(upsert_manifest(manifest, done, ["game_id"], "lastuploadDTS"), manifest_path)
 
 
+def insert_csv(
+    spark: SparkSession, csv: str, table: str, schema: str, keys, order, partition_by=()
+) -> None:
+    """Append the CSV rows whose primary key the Parquet table does not have yet,
+    one row per key."""
+    new = read_csv_table(spark, csv, schema)
+    existing = read_table(spark, table, schema)
+    rows = insert_ignore(existing, new, keys, order)
+    writer = rows.write.mode("append").option("compression", "snappy")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(table)
+
+
+def append_csv_distinct(spark: SparkSession, csv: str, table: str, schema: str, target: str) -> None:
+    """For tables without a key: the distinct rows of the table and the CSV rows,
+    written as a new version of the table to ``target``."""
+    new = read_csv_table(spark, csv, schema)
+    rows = append_distinct(read_table(spark, table, schema), new)
+    rows.write.mode("errorifexists").option("compression", "snappy").parquet(target)
+
+
 def refresh_derived(
     derived: DataFrame,
     target: str,
