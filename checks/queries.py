@@ -574,14 +574,15 @@ def score_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Archive names made from pages: every third page is an archive, some are raw.
+# Archive names made from page addresses: mobile pages give raw archives, addresses
+# with a query give another format.
 _ARCHIVES = """
 SELECT '20' || lpad(CAST(10 + page_id % 9 AS STRING), 2, '0') || '-2019/'
-       || CASE page_id % 7 WHEN 0 THEN 'Raw/' ELSE '' END || 'rawdata/'
+       || CASE WHEN url LIKE '%//m.%' THEN 'Raw/' ELSE '' END || 'rawdata/'
        || lpad(CAST(1 + page_id % 12 AS STRING), 2, '0') || '.'
-       || lpad(CAST(1 + page_id % 28 AS STRING), 2, '0') || '.2016.AAA.at.'
-       || upper(substr(url, 8, 3)) || CASE page_id % 3 WHEN 0 THEN '.zip' ELSE '.7z' END AS key,
-       'table/season=2015-2016/' || CASE page_id % 5 WHEN 0 THEN '' ELSE 'gameid='
+       || lpad(CAST(1 + page_id % 28 AS STRING), 2, '0') || '.2016.AAA.at.B'
+       || CASE WHEN url LIKE '%?%' THEN '.zip' ELSE '.7z' END AS key,
+       'table/season=2015-2016/' || CASE WHEN url LIKE '%#%' THEN '' ELSE 'gameid='
        || lpad(CAST(page_id AS STRING), 10, '0') || '/' END || 'part.parquet' AS path
 FROM {pages}
 """
