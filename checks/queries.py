@@ -865,19 +865,11 @@ def legacy_play_by_play(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.withColumn("wctimestring", F.date_format("wctimestring", "HH:mm"))
 
 
-_LEGACY_BOX = [
-    n if n != "min" else "minutes"
-    for n, _ in schemas.columns(schemas.BOX_SCORE_TRADITIONAL)
-    if n not in ("team_name", "starters_bench")
-]
-
-
 @_query(
     "SELECT "
     + ", ".join(
-        f'CAST("{n}" AS DOUBLE) AS minutes' if n == "minutes"
-        else f'"{n}" AS {({**legacy._BOX_HEAD, **legacy._TRADITIONAL})[n]}'
-        for n in _LEGACY_BOX
+        "CAST(minutes AS DOUBLE) AS minutes" if old == "minutes" else f'"{old}" AS {new}'
+        for old, new in legacy.BOX_SCORE_NAMES["traditional"].items()
     )
     + f" FROM ({_BOX_TRADITIONAL})"
 )

@@ -89,3 +89,12 @@ def test_grid_and_pairs(spark, rows):
     assert rows(game_team_pairs(log.unionAll(log), "gameid", "team_abbreviation")) == [
         ("1", "T10", "T11"), ("2", "T20", "T21"), ("3", "T30", "T31"),
     ]
+
+
+def test_stamp_defaults_to_now(spark):
+    from datetime import datetime, timedelta, timezone
+
+    pbp, positions, log = tables(spark)
+    stamp = team_shooting_side(pbp, positions, log).head()["lastupdate_dts"]
+    then = datetime.strptime(stamp, "%Y-%m-%d %H:%M:%SZ").replace(tzinfo=timezone.utc)
+    assert abs(datetime.now(timezone.utc) - then) < timedelta(minutes=5)

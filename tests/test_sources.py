@@ -208,7 +208,7 @@ def gamelog_file(folder):
     heads = ["TEAM_ID", "GAME_ID", "GAME_DATE", "MATCHUP", "PTS"]
     put(folder, "log.json", response(("LeagueGameLog", heads, [
         [1, "02", "2015-10-27", "DET @ ATL", 106], [2, "02", "2015-10-27", "ATL vs. DET", 94],
-        [3, "03", "2015-10-31", "CLE @ CHI", 95], [4, "03", "2015-10-31", "CHI vs. CLE", 97],
+        [3, "03", "2015-10-31", "CLE @ CHI", 95.0], [4, "03", "2015-10-31", "CHI vs. CLE", 97],
     ])))
 
 

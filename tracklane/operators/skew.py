@@ -140,7 +140,8 @@ def ordered_chunks(df: DataFrame, keys, order) -> tuple[DataFrame, list[str]]:
     Sorting by (chunk columns, order) equals sorting by order. A group is cut
     into equal steps between its lowest and highest value; chunks that are still
     too large are cut again, and where one value alone is too frequent the next
-    order column is used. Each step costs one pre-aggregated count.
+    order column is used. Each step costs one pre-aggregated count. Text is cut by
+    its first seven bytes only; keys that share them stay in one chunk.
     """
     limit = _setting(df, HOT_ROWS_KEY, HOT_ROWS)
     chunks: list[str] = []

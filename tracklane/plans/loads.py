@@ -52,17 +52,7 @@ def load_tracking(
     positions are written without a shuffle.
     """
     docs = read_tracking(spark, source, multiline)
-    first = F.get("events", F.lit(0))
-    heads = settle(
-        docs.select(
-            "input_filename",
-            "gamedate",
-            "gameid",
-            first["home"].alias("home"),
-            first["visitor"].alias("visitor"),
-            CORRUPT,
-        )
-    )
+    heads = settle(tracking.document_heads(docs, "input_filename", CORRUPT))
     good = heads.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     positions = tracking.flatten_positions(docs, season)
     write_table(positions, f"{target}/gameposition", rebalance=not multiline)

@@ -89,7 +89,7 @@ def team_shooting_side(
 ) -> DataFrame:
     """Side per team and period of every game.
 
-    ``loaded_at`` fixes the load stamp; without it the current time is used.
+    ``loaded_at`` fixes the load stamp; without it the current time (UTC) is used.
     """
     side = first_shot_side(playbyplay, positions, period, tolerance).select(
         "gameid", F.col("teamid").alias("first_team"), F.col("shooting_side").alias("first_side")
@@ -116,7 +116,8 @@ def team_shooting_side(
     first_half, second_half = F.col("period").isin(1, 2), F.col("period").isin(3, 4)
     same_end = (same_team & first_half) | (~same_team & second_half)
     other_end = (same_team & second_half) | (~same_team & first_half)
-    stamp = F.current_timestamp() if loaded_at is None else F.lit(loaded_at)
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    stamp = F.date_format(now, "yyyy-MM-dd HH:mm:ss'Z'") if loaded_at is None else F.lit(loaded_at)
     return joined.select(
         "game_date",
         "teamid",

@@ -74,6 +74,11 @@ _PLAYER_TRACKING = {
     "dfg_pct": "field_goals_defended_at_rim_percent",
 }
 
+BOX_SCORE_NAMES = {
+    "traditional": {**_BOX_HEAD, **_TRADITIONAL},
+    "player": {**_BOX_HEAD, **_PLAYER_TRACKING},
+}
+
 
 def legacy_play_by_play(df: DataFrame, wctime_format: str = "HH:mm:ss") -> DataFrame:
     """Play-by-play with the score split in two, the period clock in seconds and
@@ -110,7 +115,7 @@ def legacy_play_by_play(df: DataFrame, wctime_format: str = "HH:mm:ss") -> DataF
 
 def legacy_box_scores(df: DataFrame, kind: str = "traditional") -> DataFrame:
     """Box scores with spelled-out names and numeric minutes."""
-    names = {**_BOX_HEAD, **(_TRADITIONAL if kind == "traditional" else _PLAYER_TRACKING)}
+    names = BOX_SCORE_NAMES[kind]
     return df.select(*[F.col(old).alias(new) for old, new in names.items()]).withColumn(
         "minutes", F.col("minutes").try_cast("double")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklane.functions import minutes_text, wall_clock_24h
@@ -37,11 +37,15 @@ def result_sets_to_df(docs: DataFrame, ddl: str, season: str = SEASON) -> DataFr
         ).alias("_at"),
     )
     rows = placed.select("result_set", "_at", F.explode("_rows").alias("_row"))
+
+    def value(i: int, kind: str) -> Column:
+        text = F.get("_row", F.get("_at", F.lit(i)))
+        if kind == "bigint":  # also where a response writes 240 as 240.0
+            return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+        return text.try_cast(kind)
+
     return rows.select(
-        *[
-            F.get("_row", F.get("_at", F.lit(i))).try_cast(t).alias(n)
-            for i, (n, t) in enumerate(wanted)
-        ],
+        *[value(i, kind).alias(name) for i, (name, kind) in enumerate(wanted)],
         F.lit(season).alias("season"),
         "result_set",
     )

@@ -17,15 +17,12 @@ def _typed(df: DataFrame, ddl: str) -> DataFrame:
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in schemas.columns(ddl)])
 
 
-def document_heads(docs: DataFrame) -> DataFrame:
-    """What the small tables need: ids and the two teams of the first event."""
+def document_heads(docs: DataFrame, *keep: str) -> DataFrame:
+    """What the small tables need: ids and the two teams of the first event, plus
+    the columns named in ``keep``."""
     first = F.get("events", F.lit(0))
     return docs.select(
-        *[c for c in ("input_filename",) if c in docs.columns],
-        "gamedate",
-        "gameid",
-        first["home"].alias("home"),
-        first["visitor"].alias("visitor"),
+        *keep, "gamedate", "gameid", first["home"].alias("home"), first["visitor"].alias("visitor")
     )
 
 
