@@ -208,12 +208,17 @@ def refresh_derived(
     loaded_at: str,
     params: str = "",
     rebalance: bool = True,
+    games: DataFrame | None = None,
 ) -> None:
     """Write a derived table (closest to ball, player actions, shooting side) for
-    the games it holds and record them. Existing data of those games is replaced."""
+    the games it holds and record them. Existing data of those games is replaced.
+
+    ``games`` names the games if that is cheaper than taking them from ``derived``:
+    its (season, gameid) columns may come straight from a partitioned base table.
+    """
     spark = derived.sparkSession
     write_table(derived, target, rebalance=rebalance)
-    written = derived.select("season", "gameid").distinct()
+    written = (derived if games is None else games).select("season", "gameid").distinct()
     rows = written.select(
         "season",
         "gameid",
@@ -246,10 +251,11 @@ def refresh_closest_to_ball(
         todo = pending(rows, manifest, "gameid", done=F.col("uploadedFLG") == 1)
         rows = rows.join(bounded_broadcast(todo, rows), "gameid", "left_semi")
     whole_games = hot_keys(rows, ["season", "gameid"]) is None
-    if whole_games:
-        rows = rows.repartition("season", "gameid")
-    ranked = closest_to_ball(rows, split_large=not whole_games)
-    refresh_derived(ranked, target, manifest_path, loaded_at, rebalance=not whole_games)
+    by_game = rows.repartition("season", "gameid") if whole_games else rows
+    ranked = closest_to_ball(by_game, split_large=not whole_games)
+    refresh_derived(
+        ranked, target, manifest_path, loaded_at, rebalance=not whole_games, games=rows
+    )
 
 
 def shooting_side_manifest(sides: DataFrame, loaded_at: str) -> DataFrame:
