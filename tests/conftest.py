@@ -14,9 +14,10 @@ from tracklane.session import configure  # noqa: E402
 def spark():
     session = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
