@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tracklane.plans import closest, shooting_side
+from tracklane.plans import closest, loads, shooting_side
 from tracklane.plans.player_actions import player_actions
 from tracklane.sources import readers, schemas, tracking
 
@@ -46,6 +46,16 @@ def test_game_range_prunes_partitions(tables):
     assert "season" in filters and "try_cast(gameid" in filters
 
 
+def test_a_short_list_of_games_prunes_partitions(spark, tables):
+    games = spark.createDataFrame([("0000000001",), ("0000000007",)], "gameid string")
+    listed = loads.only_games(tables["positions"], games)
+    scan = next(x for x in plan(listed).splitlines() if "FileScan" in x)
+    assert "gameid" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    joined = loads.only_games(tables["positions"], games, list_up_to=1)
+    assert "LeftSemi" in plan(joined) and listed.collect() == joined.collect()
+    assert loads.only_games(tables["positions"], games.where("false")).count() == 0
+
+
 def test_shooting_side_reads_only_the_ball_of_one_period(tables):
     text = plan(shooting_side.first_shot_side(tables["playbyplay"], tables["positions"]))
     scan = next(x for x in text.splitlines() if "FileScan" in x and "x_coordinate" in x)

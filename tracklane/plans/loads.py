@@ -230,6 +230,16 @@ def refresh_derived(
     save_manifest(upsert_manifest(manifest, rows, ["gameid"], "lastuploadDTS"), manifest_path)
 
 
+def only_games(rows: DataFrame, games: DataFrame, list_up_to: int = 1000) -> DataFrame:
+    """Rows of the given games. A short list becomes a filter, so that a partitioned
+    table is read only where those games lie; a long one becomes a join."""
+    wanted = games.select("gameid").distinct()
+    ids = [r["gameid"] for r in wanted.limit(list_up_to + 1).collect()]
+    if len(ids) <= list_up_to:
+        return rows.where(F.col("gameid").isin(ids))
+    return rows.join(bounded_broadcast(wanted, rows), "gameid", "left_semi").select(*rows.columns)
+
+
 def refresh_closest_to_ball(
     positions: DataFrame,
     target: str,
@@ -249,7 +259,7 @@ def refresh_closest_to_ball(
     if pending_only:
         manifest = load_manifest(positions.sparkSession, manifest_path, schemas.DERIVED_MANIFEST)
         todo = pending(rows, manifest, "gameid", done=F.col("uploadedFLG") == 1)
-        rows = rows.join(bounded_broadcast(todo, rows), "gameid", "left_semi")
+        rows = only_games(rows, todo)
     whole_games = hot_keys(rows, ["season", "gameid"]) is None
     by_game = rows.repartition("season", "gameid") if whole_games else rows
     ranked = closest_to_ball(by_game, split_large=not whole_games)
