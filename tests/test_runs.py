@@ -108,3 +108,14 @@ def test_chunked_row_number_by_type(spark, small_groups, kind, make):
     got = chunked_row_number(df, ["game"], ["v", "i"], "n").select("i", "n").collect()
     want = df.select("i", plain.cast("bigint").alias("n")).collect()
     assert sorted(got) == sorted(want)
+
+
+def test_text_with_a_common_prefix_is_cut(spark, small_groups):
+    rng = random.Random(9)
+    names = [f"00215000{rng.randrange(10**6):06d}" for _ in range(400)] + ["0021500"] * 3
+    df = spark.createDataFrame([("g", n, i) for i, n in enumerate(names)], "game string, v string, i int")
+    cut, chunks = ordered_chunks(df, ["game"], ["v", "i"])
+    got = sorted((r["v"], r["i"], tuple(r[c] for c in chunks)) for r in cut.collect())
+    assert [t[2] for t in got] == sorted(t[2] for t in got)
+    sizes = [sum(1 for t in got if t[2] == c) for c in {t[2] for t in got}]
+    assert len(sizes) > 8 and max(sizes) <= 40

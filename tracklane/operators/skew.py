@@ -32,6 +32,8 @@ BROADCAST_ROWS = 200_000
 _BUCKETS = 8192
 # Chunks per expected chunk, to even out uneven values.
 _SPREAD = 4
+# Cuts by one column before the next is tried; uneven values need more than one.
+_PASSES = 4
 
 
 def asc(columns) -> list[Column]:
@@ -113,24 +115,35 @@ def split_hot(df: DataFrame, keys, hot: DataFrame) -> tuple[DataFrame, DataFrame
     return df.join(small, list(keys), "left_anti"), df.join(small, list(keys), "left_semi")
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    """A DOUBLE that never decreases while the column's value increases."""
+def _pieces(df: DataFrame, name: str) -> list[tuple[Column, Column]]:
+    """(value, position) pairs that order rows like the column does.
+
+    A position is a DOUBLE that never decreases while the value increases. Text
+    comes in pieces of six bytes, which a DOUBLE holds exactly.
+    """
     kind, c = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.StringType):
+        hexed = [F.hex(F.substring(c.cast("binary"), start, 6)) for start in (1, 7, 13, 19)]
+        pieces = [F.conv(F.rpad(h, 12, "0"), 16, 10).cast("double") for h in hexed]
+        return [(p, p) for p in pieces]
     if isinstance(kind, T.NumericType):
-        return c.cast("double")
+        return [(c, c.cast("double"))]
     if isinstance(kind, T.BooleanType):
-        return c.cast("int").cast("double")
+        return [(c, c.cast("int").cast("double"))]
     if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
+        return [(c, F.unix_date(c).cast("double"))]
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c).cast("double")
+        return [(c, F.unix_micros(c).cast("double"))]
     if isinstance(kind, T.TimestampNTZType):
         clock = F.hour(c) * 3600 + F.minute(c) * 60 + F.date_part(F.lit("second"), c)
-        return (F.unix_date(c.cast("date")).cast("bigint") * 86400 + clock).cast("double")
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.when(c.isNotNull(), F.lit(0.0))
+        day = F.unix_date(c.cast("date")).cast("bigint")
+        return [(c, (day * 86400 + clock).cast("double"))]
+    return [(c, F.when(c.isNotNull(), F.lit(0.0)))]
+
+
+def _constant(value: Column) -> Column:
+    """All rows of the group agree on the value (or all have none)."""
+    return F.min(value).eqNullSafe(F.max(value)) & F.count(value).isin(F.lit(0), F.count("*"))
 
 
 def ordered_chunks(df: DataFrame, keys, order) -> tuple[DataFrame, list[str]]:
@@ -141,39 +154,35 @@ def ordered_chunks(df: DataFrame, keys, order) -> tuple[DataFrame, list[str]]:
     into equal steps between its lowest and highest value; chunks that are still
     too large are cut again, and where one value alone is too frequent the next
     order column is used. Each step costs one pre-aggregated count. Text is cut by
-    its first seven bytes only; keys that share them stay in one chunk.
+    its first 24 bytes.
     """
     limit = _setting(df, HOT_ROWS_KEY, HOT_ROWS)
     chunks: list[str] = []
-    for depth, name in enumerate(order):
-        fixed = list(order[:depth])
-        for _ in range(2):
+    pieces = [piece for name in order for piece in _pieces(df, name)]
+    for depth, (_, p) in enumerate(pieces):
+        # Only groups that agree on everything before this piece may be cut by it;
+        # elsewhere the cut would break the order.
+        tied = reduce(lambda a, b: a & b, [_constant(v) for v, _ in pieces[:depth]], F.lit(True))
+        finite = F.when(~F.isnan(p) & (F.abs(p) != float("inf")), p)
+        for _ in range(_PASSES):
             by = [*keys, *chunks]
-            # Only groups in which all earlier order columns are constant may be
-            # cut by this one; elsewhere the cut would break the order.
-            constant = [
-                (F.min(c).eqNullSafe(F.max(c)))
-                & ((F.count(c) == 0) | (F.count(c) == F.count("*")))
-                for c in fixed
-            ]
-            p = _position(df, name)
-            finite = F.when(~F.isnan(p) & (F.abs(p) != float("inf")), p)
-            stats = (
+            oversized, small = counted(
                 df.groupBy(*by)
                 .agg(
                     F.count("*").alias("_n"),
                     F.min(finite).alias("_lo"),
                     F.max(finite).alias("_hi"),
-                    reduce(lambda a, b: a & b, constant, F.lit(True)).alias("_tied"),
+                    (tied & ~_constant(p)).alias("_divisible"),
                 )
-                .where((F.col("_n") > limit) & F.col("_tied"))
-                .drop("_tied")
+                .where(F.col("_n") > limit)
             )
-            large, small = counted(stats)
-            if large.isEmpty():
+            if oversized.isEmpty():
+                return df, chunks
+            steps = oversized.where("_divisible").drop("_divisible")
+            if steps.isEmpty():
                 break
             chunk = f"_chunk{len(chunks)}"
-            df = _cut(df, large, by, p, limit, chunk, small)
+            df = _cut(df, steps, by, p, limit, chunk, small)
             chunks.append(chunk)
     return df, chunks
 
