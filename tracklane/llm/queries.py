@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklane.llm import exact_dedup, mixing, quality, url_filters
+from tracklane.llm import exact_dedup, minhash, mixing, packing, quality, url_filters
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -39,6 +39,20 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query()
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_classes(_table(spark, sf_dir, "documents"), size=4)
+    return found.select(
+        "doc_id", "n_shingles", "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
+@_query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 @_query(
     """
     SELECT doc_id,
