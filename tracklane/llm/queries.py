@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklane.llm import exact_dedup, minhash, mixing, packing, quality, url_filters
+from tracklane.llm import exact_dedup, licenses, minhash, mixing, packing, quality, url_filters
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,6 +25,62 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_LICENSE_SQL = r"""
+    WITH found AS (
+      SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+    places AS (
+      SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS t,
+             [i FOR i IN range(1, len(w) + 1) IF w[i] = 'cc' AND w[i + 1] = 'by'] AS cc,
+             [i FOR i IN range(1, len(w) + 1) IF w[i] = 'general' AND w[i + 1] = 'public'
+                                             AND w[i + 2] = 'license'] AS gpl,
+             [i FOR i IN range(1, len(w) + 1) IF w[i] = 'all' AND w[i + 1] = 'rights'
+                                             AND w[i + 2] = 'reserved'] AS ar
+      FROM found),
+    labelled AS (
+      SELECT doc_id, len(w) AS n_words, list_concat(cc, gpl, ar) AS starts,
+             list_filter([CASE WHEN len(cc) > 0 THEN 'cc-by' END,
+                          CASE WHEN len(gpl) > 0 THEN 'gpl' END,
+                          CASE WHEN len(ar) > 0 THEN 'reserved' END],
+                         lambda x: x IS NOT NULL) AS base,
+             list_filter([
+               CASE WHEN regexp_matches(t,
+                 ' licensed under the apache license (version )?2 0 ') THEN 'apache-2.0' END,
+               CASE WHEN contains(t,
+                 ' redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met ')
+                 THEN 'bsd' END,
+               CASE WHEN regexp_matches(t,
+                 ' licensed under (a )?(creative commons )?cc by nc 4 0 ') THEN 'cc-by-nc-4.0' END,
+               CASE WHEN regexp_matches(t,
+                 ' licensed under (a )?(creative commons )?cc by sa 4 0 ') THEN 'cc-by-sa-4.0' END,
+               CASE WHEN regexp_matches(t,
+                 ' copyright (c )?([^ ]+ ){1,8}all rights reserved ') THEN 'copyright' END,
+               CASE WHEN regexp_matches(t,
+                 ' gnu general public license (as published by the free software foundation (either )?)?version 3 ')
+                 THEN 'gpl-3.0' END,
+               CASE WHEN contains(t, ' under the mit license ') THEN 'mit' END,
+               CASE WHEN regexp_matches(t,
+                 ' permission is hereby granted free of charge to any person obtaining a copy of ([^ ]+ ){1,12}to deal in the software without restriction ')
+                 THEN 'mit-text' END], lambda x: x IS NOT NULL) AS more
+      FROM places)
+    SELECT doc_id, n_words, len(starts) AS n_base,
+           list_min(starts) - 1 AS first_word, list_max(starts) - 1 AS last_word,
+           array_to_string(base, ',') AS base_labels,
+           array_to_string(list_sort(list_concat(base, more)), ',') AS labels,
+           CASE WHEN len(more) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE
+             AS score
+    FROM labelled
+    """
+
+
+@_query(_LICENSE_SQL)
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 @_query()
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.words_taken(_table(spark, sf_dir, "documents"))
