@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklane.llm import exact_dedup, licenses, minhash, mixing, packing, quality, url_filters
+from tracklane.llm import exact_dedup, html_text, licenses, minhash, mixing, packing, quality, url_filters, warc
+from tracklane.session import scratch_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,6 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_query()
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 _LICENSE_SQL = r"""
     WITH found AS (
       SELECT doc_id, regexp_extract_all(
@@ -109,6 +115,33 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+@_query(
+    """
+    WITH payload AS (
+      SELECT page_id, coalesce(html, '') AS html FROM pages),
+    firsts AS (
+      SELECT page_id, strlen(html) AS n, sha256(html) AS digest,
+             min(page_id) OVER (PARTITION BY html) AS first_id
+      FROM payload)
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+           CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END
+             AS record_type,
+           CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+    FROM firsts
+    """
+)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    warc.write_archives(pages, path)
+    archives = spark.read.parquet(path)
+    index = warc.build_index(warc.read_archives(archives))
+    captures = warc.look_up(index, pages)
+    return warc.fetch(archives, captures).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @_query(
     """
     SELECT doc_id,
