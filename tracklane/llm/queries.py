@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklane.llm import exact_dedup, html_text, licenses, minhash, mixing, packing, quality, url_filters, warc
+from tracklane.llm import (
+    exact_dedup,
+    html_text,
+    licenses,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    toxicity,
+    url_filters,
+    warc,
+)
 from tracklane.session import scratch_path
 
 QUERIES: dict = {}
@@ -212,3 +223,8 @@ LISTED_HOSTS = (
 )
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_table(spark, sf_dir, "pages"), URL_RULES, LISTED_HOSTS)
+
+
+@_query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
