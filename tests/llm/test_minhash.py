@@ -82,9 +82,9 @@ def family(spark):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
 
 
-@pytest.mark.parametrize("allowed", [16, 0.2])
+@pytest.mark.parametrize("allowed", [4096, 200])
 def test_groups_without_one_centre(spark, monkeypatch, allowed):
-    monkeypatch.setattr(minhash, "PAIRS_PER_DOCUMENT", allowed)
+    monkeypatch.setattr(minhash, "COMPARED_PER_DOCUMENT", allowed)
     df = family(spark)
     rows = [tuple(r) for r in df.collect()]
     assert found(df, 4) == brute(rows, 4)
@@ -103,6 +103,23 @@ def test_bins_agree_as_often_as_the_sets_are_similar():
         assert abs(np.mean(rates)) < 0.06
 
 
+def test_sketches_of_similar_sets_agree():
+    rng = np.random.default_rng(4)
+    for n in (5, 40, 400, 4000):
+        for share in (0.8, 0.6):
+            same = round(2 * n * share / (1 + share))
+            agree = []
+            for _ in range(20):
+                pool = rng.integers(0, 2**64, 2 * n - same, np.uint64)
+                a, b = np.sort(pool[:n]), np.sort(pool[n - same :])
+                bits = minhash.sketch(a) ^ minhash.sketch(b)
+                agree.append(1024 - sum(int(x).bit_count() for x in bits.view(np.uint64)))
+            similar = same / (2 * n - same)
+            assert abs(np.mean(agree) - 512 * (1 + similar)) < 16
+            if similar >= 0.8:
+                assert min(agree) >= minhash._least_agreement(80)
+
+
 def test_shingles_of_short_texts_and_case():
     assert len(shingle_set("a b c", 4)) == 1
     assert (shingle_set("A B c", 4) == shingle_set("a b  C\n", 4)).all()

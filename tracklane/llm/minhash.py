@@ -7,15 +7,17 @@ in a bin with the probability of their similarity. Bands of four bins name bucke
 
 Candidates come from buckets in two steps. Every bucket becomes a star around the member
 that shares most buckets with others, so its pairs are as many as its members. Links are
-confirmed on the full shingle sets and connected into groups. What is left are members of
-one bucket in different groups. Those pairs are counted, and confirmed directly while they
-are no more than a multiple of the documents. Beyond that, random members are compared with
-all others of their buckets, as many as keep within that number, and retire; this repeats
-until no pair is left. No pair of a bucket is lost between groups, and no step makes more
-pairs than a fixed multiple of its documents.
+confirmed on the full shingle sets and connected into groups. What is left are pairs of
+one bucket in different groups. Each of them is compared too, by sketches of 1024 bits
+inside the join, and only pairs whose sketches allow a link leave it, once each, to be
+confirmed. Their number is counted before: beyond ``COMPARED_PER_DOCUMENT`` times the
+documents, random members are compared with all others of their buckets, as many as keep
+within it, and retire; this repeats until no pair is left. So no pair of a bucket is lost
+between groups, and the work is done in steps of bounded size.
 
 Texts with equal shingle sets are one document to all of this. Similar texts of at least
-0.8 miss all 32 bands with probability (1 - 0.8^4)^32 = 5e-8.
+0.8 miss all 32 bands with probability (1 - 0.8^4)^32 = 5e-8; their sketches are further
+apart than allowed (5 standard deviations) with probability 3e-7.
 
 Defined cases: a null or empty text has no shingles and no links; null ids do not count
 when the smallest id of a group is sought; rows that repeat an id are one document per
@@ -26,10 +28,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklane.llm.components import components
@@ -39,27 +43,42 @@ from tracklane.session import settle
 BINS, BAND = 128, 4
 #: Probes of the densification that are laid out in advance, for every bin.
 PROBES = 4096
-#: Pairs that one step may compare, for each document that has candidates.
-PAIRS_PER_DOCUMENT = 16
+SKETCH_BITS, SKETCH_PROBES = 1024, 2048
+#: Sketches that one step may compare, for each document that has candidates.
+COMPARED_PER_DOCUMENT = 4096
+#: Most bytes of the list of documents with candidates that is sent to every task.
+BROADCAST_BYTES = 8 << 20
 
-_BIN_BITS = BINS.bit_length() - 1
-_EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - _BIN_BITS)
-_PROBE = (
-    mixed(np.arange(BINS * PROBES, dtype=np.uint64)) >> np.uint64(64 - _BIN_BITS)
-).astype(np.uint8).reshape(BINS, PROBES)
 
+_COMPARED = ("node", "n", "root", "sketch", "bands")
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+
+class Bins:
+    """Ranges of the hash, and for each the random sequence of bins it may borrow from."""
+
+    def __init__(self, bins: int, probes: int):
+        self.bits = bins.bit_length() - 1
+        self.number = np.arange(bins, dtype=np.uint64)
+        self.edges = self.number << np.uint64(64 - self.bits)
+        order = mixed(np.arange(bins * probes, dtype=np.uint64)) >> np.uint64(64 - self.bits)
+        self.probe = order.astype(np.uint16).reshape(bins, probes)
+
+
+_FOR_BANDS = Bins(BINS, PROBES)
+_FOR_SKETCHES = Bins(SKETCH_BITS, SKETCH_PROBES)
+
+
+def signature(shingles: np.ndarray, bins: Bins = _FOR_BANDS) -> np.ndarray:
     """The densified bins of a set that is sorted and not empty."""
     # sorted shingles: the smallest of a bin is the first at or after the bin's edge
-    at = np.searchsorted(shingles, _EDGES)
+    at = np.searchsorted(shingles, bins.edges)
     first = shingles[np.minimum(at, len(shingles) - 1)]
-    filled = (at < len(shingles)) & (first >> np.uint64(64 - _BIN_BITS) == np.arange(BINS))
+    filled = (at < len(shingles)) & (first >> np.uint64(64 - bins.bits) == bins.number)
     out, empty, step = first.copy(), np.flatnonzero(~filled), 16
-    for start in range(0, PROBES, step):
+    for start in range(0, bins.probe.shape[1], step):
         if not len(empty):
             break
-        probes = _PROBE[empty, start : start + step]
+        probes = bins.probe[empty, start : start + step]
         good = filled[probes]
         found = good.any(axis=1)
         source = probes[found, good[found].argmax(axis=1)]
@@ -83,6 +102,22 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """One bit per bin, as 64-bit numbers. Bits agree with probability (1 + similarity) / 2."""
+    bins = signature(shingles, _FOR_SKETCHES)
+    return np.packbits(mixed(bins ^ _FOR_SKETCHES.edges) & np.uint64(1)).view(np.int64)
+
+
+def _least_agreement(percent: int) -> int:
+    p = (1 + percent / 100) / 2
+    return int(SKETCH_BITS * p - 5 * (SKETCH_BITS * p * (1 - p)) ** 0.5)
+
+
+def _sketches_agree(x: str, y: str, percent: int) -> Column:
+    apart = [F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(SKETCH_BITS // 64)]
+    return SKETCH_BITS - reduce(add, apart) >= _least_agreement(percent)
+
+
 def signed(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """doc_id, text_key, n_shingles, node (a 128-bit digest of the full set), bands."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,13 +155,18 @@ def signed(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int):
-    """node, shingles (8 bytes each, sorted) for ``wanted`` (node, doc_id, text_key)."""
+    """node, shingles (8 bytes each, sorted), sketch for ``wanted`` (node, doc_id, text_key)."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), size).tobytes() for t in batch.column(1)]
+            sets = [shingle_set(t.as_py(), size) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"]
+                [
+                    batch.column(0),
+                    pa.array([x.tobytes() for x in sets], pa.binary()),
+                    pa.array([sketch(x) for x in sets], pa.list_(pa.int64())),
+                ],
+                names=["node", "shingles", "sketch"],
             )
 
     texts = docs.select(
@@ -134,12 +174,14 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, s
         F.col(text_col).alias("text"),
         F.xxhash64(text_col).alias("text_key"),
     )
-    at = texts.text_key == wanted.text_key
-    at = at & texts.doc_id.eqNullSafe(wanted.doc_id)
-    rows = texts.join(wanted, at).select("node", "text")
-    sets = settle(rows.mapInArrow(build, "node binary, shingles binary"))
+    many = wanted.count()
+    listed = F.broadcast(wanted) if many * 64 <= BROADCAST_BYTES else wanted
+    at = texts.text_key == listed.text_key
+    at = at & texts.doc_id.eqNullSafe(listed.doc_id)
+    rows = texts.join(listed, at).select("node", "text")
+    sets = settle(rows.mapInArrow(build, "node binary, shingles binary, sketch array<long>"))
     # rows repeated in full bring their set more than once
-    if sets.count() > wanted.count():
+    if sets.count() > many:
         sets = settle(sets.dropDuplicates(["node"]))
     return sets
 
@@ -159,28 +201,36 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+    right = right.join(pairs.select("b").distinct(), "b", "left_semi")
     return (
         pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
         .mapInArrow(confirm, "a binary, b binary")
     )
 
 
-def _pairs(one: DataFrame, other: DataFrame, percent: int, condition) -> DataFrame:
-    """Distinct pairs (a < b) of members of one bucket whose set sizes allow a link."""
-    one = one.select("bucket", *[F.col(c).alias(f"x_{c}") for c in one.columns if c != "bucket"])
-    other = other.select(
-        "bucket", *[F.col(c).alias(f"y_{c}") for c in other.columns if c != "bucket"]
+def _stars(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of every member a and the centre b of a bucket that may be links."""
+    shared = members.groupBy("node").agg(F.sum("n_members").alias("weight"))
+    centres = (
+        members.join(shared, "node")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("weight", "node", "n")).alias("centre"))
+        .select("bucket", "centre.node", "centre.n")
     )
-    sizes = F.col("x_n"), F.col("y_n")
-    return (
-        one.join(other, "bucket")
-        .where("x_node != y_node").where(condition)
+    sizes = members["n"], centres["n"]
+    pairs = (
+        members.join(centres, "bucket")
+        .where(members["node"] != centres["node"])
         .where(100 * F.least(*sizes) >= percent * F.greatest(*sizes))
-        .select(
-            F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")
-        )
+        .select(members["node"].alias("a"), centres["node"].alias("b"))
         .distinct()
     )
+    return (
+        pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a")
+        .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b")
+        .where(_sketches_agree("x", "y", percent))
+        .select("a", "b")
+    )
 
 
 def _in_several_groups(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -200,42 +250,51 @@ def _in_several_groups(members: DataFrame, links: DataFrame) -> DataFrame:
     return settle(found.join(groups, ["bucket", "root"]))
 
 
-def links_of(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _between_groups(members: DataFrame, some: DataFrame, percent: int, both_ways: bool):
+    """Pairs (a, b) of one bucket, ``a`` a member and ``b`` one of ``some``, in different
+    groups and with sketches that allow a link. A pair comes from its first bucket only."""
+    x = members.select("bucket", *[F.col(c).alias(f"x_{c}") for c in _COMPARED])
+    y = some.select("bucket", *[F.col(c).alias(f"y_{c}") for c in _COMPARED])
+    order = F.lit(True) if both_ways else F.col("x_node") < F.col("y_node")
+    sizes = F.col("x_n"), F.col("y_n")
+    return (
+        x.join(y, "bucket")
+        .where(order & (F.col("x_root") != F.col("y_root")))
+        .where(100 * F.least(*sizes) >= percent * F.greatest(*sizes))
+        .where(_sketches_agree("x_sketch", "y_sketch", percent))
+        .where(F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("bucket"))
+        .select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
+    )
+
+
+def links_of(members: DataFrame, sets: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
     """Confirmed links (a, b) that connect what links between bucket members connect.
 
-    ``members`` has bucket, node, n (set size) and n_members of buckets with two or more.
+    ``members`` has bucket, node, n (set size) and n_members of buckets with two or more;
+    ``sets`` node, shingles and sketch, ``bands`` node and bands of their documents.
     """
-    shared = members.groupBy("node").agg(F.sum("n_members").alias("weight"))
-    centres = (
-        members.join(shared, "node")
-        .groupBy("bucket")
-        .agg(F.max(F.struct("weight", "node", "n")).alias("centre"))
-        .select("bucket", "centre.node", "centre.n")
-    )
+    sketches = sets.select("node", "sketch")
+    links = settle(_confirmed(settle(_stars(members, sketches, percent)), sets, percent))
+    known = sketches.join(bands, "node")
+    limit = COMPARED_PER_DOCUMENT * sets.count()
     members = members.select("bucket", "node", "n")
-    tried = settle(_pairs(members, centres, percent, F.lit(True)))
-    links = settle(_confirmed(tried, sets, percent))
-    limit = PAIRS_PER_DOCUMENT * sets.count()
     for step in range(1, 1 << 20):
         members = _in_several_groups(members, links)
-        # every pair is counted from both sides, and once in each bucket
+        # every pair is counted from both sides
         pairs = (members.agg(F.sum("others")).first()[0] or 0) // 2
         if not pairs:
             break
-        left = F.col("x_root") != F.col("y_root")
+        full = members.join(known, "node")
         if pairs <= limit:
-            new = _pairs(members, members, percent, left & (F.col("x_node") < F.col("y_node")))
-            members = members.where("false")
-        else:
-            chosen = F.pmod(F.xxhash64(F.lit(step), "node"), F.lit(1 << 30)) < F.lit(
-                max(1, int((1 << 30) * limit / (2 * pairs)))
-            )
-            new = _pairs(members, members.where(chosen), percent, left)
-            members = members.where(~chosen)
-        new = settle(new.join(tried, ["a", "b"], "left_anti"))
-        tried = tried.unionByName(new)
-        links = links.unionByName(settle(_confirmed(new, sets, percent)))
-        members = members.select("bucket", "node", "n")
+            new = _between_groups(full, full, percent, False)
+            links = links.unionByName(settle(_confirmed(settle(new), sets, percent)))
+            break
+        chosen = F.pmod(F.xxhash64(F.lit(step), "node"), F.lit(1 << 30)) < F.lit(
+            max(1, int((1 << 30) * limit / (2 * pairs)))
+        )
+        new = _between_groups(full, full.where(chosen), percent, True)
+        links = links.unionByName(settle(_confirmed(settle(new), sets, percent)))
+        members = members.where(~chosen).select("bucket", "node", "n")
     return links
 
 
@@ -268,7 +327,7 @@ def near_classes(
         .join(members.select("node").distinct(), "node", "left_semi")
     )
     sets = _full_sets(docs, wanted, id_col, text_col, size)
-    roots = components(links_of(members, sets, percent))
+    roots = components(links_of(members, sets, nodes.select("node", "bands"), percent))
     nodes = nodes.select("node", "doc_id").join(roots, "node", "left")
     nodes = nodes.select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     groups = nodes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
