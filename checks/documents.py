@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.adapters import GAME_LOG, PLAY_BY_PLAY_12H, adapt, table
-from tracklane.operators.skew import worth_probing
 from tracklane.sources import readers, schemas
 
 
@@ -20,9 +19,8 @@ def _json(*parts) -> Column:
 
 def _parsed(rows: DataFrame, document: Column) -> DataFrame:
     # A small table arrives as one split, and parsing is all computation: spread its
-    # rows over the cores. Large tables have splits enough and are left alone.
-    if not worth_probing(rows):
-        rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    # rows over the cores, and those of a large table over as many tasks as shuffles have.
+    rows = rows.repartition(F.xxhash64(F.struct("*")))
     # The generator makes each document a value of its own. As a plain expression
     # it would be parsed again by every filter that is inferred from it.
     return rows.select(F.explode_outer(F.array(document)).alias("d")).select("d.*")

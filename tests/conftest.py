@@ -28,10 +28,8 @@ def spark():
 @pytest.fixture
 def small_groups(spark):
     """Treat every key with more than 40 rows as hot."""
-    spark.conf.set(skew.PROBE_BYTES_KEY, "0")
     spark.conf.set(skew.HOT_ROWS_KEY, "40")
     yield
-    spark.conf.unset(skew.PROBE_BYTES_KEY)
     spark.conf.unset(skew.HOT_ROWS_KEY)
 
 

@@ -41,11 +41,9 @@ def test_query(spark, con, name):
      "nearest_in_time", "team_shooting_side", "player_actions_all"],
 )
 def test_query_with_large_groups(spark, con, name):
-    spark.conf.set("tracklane.skew.probeBytes", "0")
     spark.conf.set("tracklane.skew.hotRows", "3")
     try:
         ok, text = compare.compare(spark, con, QUERIES[name], SQL[name], SF_DIR)
     finally:
-        spark.conf.unset("tracklane.skew.probeBytes")
         spark.conf.unset("tracklane.skew.hotRows")
     assert ok, text

@@ -119,3 +119,26 @@ def test_text_with_a_common_prefix_is_cut(spark, small_groups):
     assert [t[2] for t in got] == sorted(t[2] for t in got)
     sizes = [sum(1 for t in got if t[2] == c) for c in {t[2] for t in got}]
     assert len(sizes) > 8 and max(sizes) <= 40
+
+
+def test_common_prefixes_and_uneven_values_are_cut(spark):
+    from pyspark.sql import functions as F
+
+    from tracklane.operators import skew
+
+    spark.conf.set(skew.HOT_ROWS_KEY, "1000")
+    try:
+        text = F.concat(F.lit("x" * 32), F.lpad(F.col("id").cast("string"), 9, "0"))
+        same = F.lit(1)
+        for order in (text, F.exp(F.col("id") / 400), F.when(F.col("id") < 5, 1), same):
+            df = spark.range(60_000).select(F.lit("g").alias("k"), order.alias("v"), "id")
+            cut, chunks = ordered_chunks(df, ["k"], ["v"])
+            sizes = cut.groupBy(*chunks).agg(
+                F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+            )
+            found = sizes.orderBy(*chunks).collect()
+            assert max(r.n for r in found) <= 2000 and len(found) >= 60
+            ends = [(r.lo, r.hi) for r in found if r.lo is not None]
+            assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
+    finally:
+        spark.conf.unset(skew.HOT_ROWS_KEY)

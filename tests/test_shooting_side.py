@@ -79,8 +79,11 @@ def test_sides_with_any_period_and_band(spark):
 def test_sides_with_counted_broadcasts(spark, rows, small_groups):
     pbp, positions, log = tables(spark)
     with_probe = rows(team_shooting_side(pbp, positions, log, loaded_at="now"))
-    spark.conf.unset("tracklane.skew.probeBytes")
-    assert with_probe == rows(team_shooting_side(pbp, positions, log, loaded_at="now"))
+    spark.conf.set("tracklane.broadcastBytes", "0")
+    try:
+        assert with_probe == rows(team_shooting_side(pbp, positions, log, loaded_at="now"))
+    finally:
+        spark.conf.unset("tracklane.broadcastBytes")
 
 
 def test_grid_and_pairs(spark, rows):

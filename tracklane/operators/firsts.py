@@ -42,7 +42,7 @@ def nearest_in_group(
     one. With ``tolerance`` only pairs at most that far apart are considered.
     The two sides may share no column names other than ``on``.
     """
-    joined = right.join(bounded_broadcast(left, right), list(on))
+    joined = right.join(bounded_broadcast(left), list(on))
     if tolerance is not None:
         joined = joined.where(
             (F.col(right_time) >= F.col(left_time) - tolerance)

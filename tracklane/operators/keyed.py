@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklane.operators.firsts import first_per_group
-from tracklane.operators.skew import counted, worth_probing
+from tracklane.operators.skew import counted
 
 
 def dedupe_by_key(df: DataFrame, keys, order) -> DataFrame:
@@ -21,12 +21,11 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys, order) -> DataFrame
     that ``existing`` already has."""
     keys = list(keys)
     fresh, present = dedupe_by_key(new, keys, order), existing.select(*keys)
-    if worth_probing(existing):
-        # Keep a large table in place when the batch is small: only its keys that
-        # occur in the batch go on to the join.
-        batch, small = counted(fresh.select(*keys))
-        if small:
-            present = present.join(F.broadcast(batch), keys, "left_semi")
+    # A table stays in place when the batch is small: only its keys that occur in the
+    # batch go on to the join.
+    batch, small = counted(fresh.select(*keys))
+    if small:
+        present = present.join(F.broadcast(batch), keys, "left_semi")
     return fresh.join(present, keys, "left_anti").select(*new.columns)
 
 

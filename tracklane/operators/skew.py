@@ -6,8 +6,8 @@ key holds a large share of the table. The functions here find such keys and cut
 their rows into chunks that follow the requested order, so that ranking and run
 detection work per chunk and only one summary row per chunk meets in one task.
 
-Nothing here changes a result: chunk borders are a function of the row's values
-and of exact statistics, never of a sample or of task placement.
+Nothing here changes a result: a chunk holds all rows between two places of the
+order, wherever the border is, and borders are fixed before they are used.
 """
 
 from __future__ import annotations
@@ -16,24 +16,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tracklane.session import settle
 
-# A key counts as hot when it holds more than this share of the rows ...
-HOT_SHARE = 0.0005
-# ... and more than this many rows.
+# A key is hot when it holds more rows than this.
 HOT_ROWS_KEY, HOT_ROWS = "tracklane.skew.hotRows", 5_000_000
-# Inputs below this estimated size are not probed: no group in them can be large.
-PROBE_BYTES_KEY, PROBE_BYTES = "tracklane.skew.probeBytes", 4 << 30
-# Small frames are broadcast only up to this many rows.
-BROADCAST_ROWS = 200_000
-# Buckets of the first count; a bucket's even share stays well below HOT_SHARE.
+# Small frames are broadcast only up to this many bytes.
+BROADCAST_BYTES_KEY, BROADCAST_BYTES = "tracklane.broadcastBytes", 16 << 20
+# Buckets of the first count of hot_keys, which rules out most keys.
 _BUCKETS = 8192
-# Chunks per expected chunk, to even out uneven values.
-_SPREAD = 4
-# Cuts by one column before the next is tried; uneven values need more than one.
-_PASSES = 4
+# Rows drawn per chunk to find the borders between chunks.
+_DRAWN = 128
 
 
 def asc(columns) -> list[Column]:
@@ -49,34 +42,18 @@ def _setting(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, or None where it cannot be asked for."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def worth_probing(df: DataFrame) -> bool:
-    size = estimated_bytes(df)
-    return size is None or size >= _setting(df, PROBE_BYTES_KEY, PROBE_BYTES)
-
-
 def counted(df: DataFrame) -> tuple[DataFrame, bool]:
-    """``df`` computed once, and whether it is small enough to broadcast."""
+    """``df`` computed once, and whether it is small enough to broadcast. Its size is
+    measured, as JSON text, and not estimated."""
     done = settle(df)
-    return done, done.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    size = F.sum(F.length(F.to_json(F.struct("*"))).cast("bigint"))
+    most = _setting(df, BROADCAST_BYTES_KEY, BROADCAST_BYTES)
+    return done, (done.agg(size).first()[0] or 0) <= most
 
 
-def bounded_broadcast(df: DataFrame, beside: DataFrame) -> DataFrame:
-    """Mark a derived frame for broadcast once its row count is known to be small.
-
-    ``beside`` is the other join side. While that is small too, Catalyst's own
-    size rules decide. Otherwise ``df`` is computed and counted first; a frame
-    over the bound is returned unmarked and joins by shuffle.
-    """
-    if not worth_probing(beside):
-        return df
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """A derived frame, computed once and marked for broadcast if its size is within
+    the bound; a larger one is returned unmarked and joins by shuffle."""
     done, small = counted(df)
     return F.broadcast(done) if small else done
 
@@ -87,124 +64,87 @@ def hot_keys(df: DataFrame, keys) -> DataFrame | None:
     Rows are first counted by a small hash of the key, which needs no shuffle worth
     mentioning and rules out nearly all keys: a hot key makes its bucket large.
     Only the keys in large buckets are then counted one by one. NULL keys are left
-    out. None means there is no such key.
+    out. None means there is no such key. This runs two small jobs over the key
+    columns whenever it is called.
     """
-    if not worth_probing(df):
-        return None
+    least = _setting(df, HOT_ROWS_KEY, HOT_ROWS)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS)).cast("int")
     bucketed = df.where(has_values(keys)).select(*keys, bucket.alias("_bucket"))
-    sizes = {r[0]: r[1] for r in bucketed.groupBy("_bucket").count().collect()}
-    least = max(_setting(df, HOT_ROWS_KEY, HOT_ROWS), HOT_SHARE * sum(sizes.values()))
-    large = [b for b, rows in sizes.items() if rows > least]
+    sizes = bucketed.groupBy("_bucket").count().where(F.col("count") > least)
+    large = [r[0] for r in sizes.collect()]
     if not large:
         return None
-    counts = (
+    hot = settle(
         bucketed.where(F.col("_bucket").isin(large))
         .groupBy(*keys)
         .count()
         .where(F.col("count") > least)
         .select(*keys)
     )
-    rows = counts.collect()  # fewer than 1 / HOT_SHARE, as each has a larger share
-    return df.sparkSession.createDataFrame(rows, counts.schema) if rows else None
+    return None if hot.isEmpty() else hot
 
 
 def split_hot(df: DataFrame, keys, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys). ``hot`` comes from ``hot_keys``."""
-    small = F.broadcast(hot)
-    return df.join(small, list(keys), "left_anti"), df.join(small, list(keys), "left_semi")
+    hot = bounded_broadcast(hot)
+    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
 
 
-def _pieces(df: DataFrame, name: str) -> list[tuple[Column, Column]]:
-    """(value, position) pairs that order rows like the column does.
+def _place(df: DataFrame, keys, order) -> Column:
+    """The order columns, NULL last, as one comparable value. The other columns follow,
+    so that rows which tie in the order can still be told apart."""
+    skipped = {*keys, *order}
+    orderable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    rest = [c for c in orderable if c not in skipped]
+    parts = []
+    for i, name in enumerate([*order, *rest]):
+        parts += [F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}")]
+    return F.struct(*parts)
 
-    A position is a DOUBLE that never decreases while the value increases. Text
-    comes in pieces of six bytes, which a DOUBLE holds exactly.
-    """
-    kind, c = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.StringType):
-        hexed = [F.hex(F.substring(c.cast("binary"), start, 6)) for start in (1, 7, 13, 19)]
-        pieces = [F.conv(F.rpad(h, 12, "0"), 16, 10).cast("double") for h in hexed]
-        return [(p, p) for p in pieces]
-    if isinstance(kind, T.NumericType):
-        return [(c, c.cast("double"))]
-    if isinstance(kind, T.BooleanType):
-        return [(c, c.cast("int").cast("double"))]
-    if isinstance(kind, T.DateType):
-        return [(c, F.unix_date(c).cast("double"))]
-    if isinstance(kind, T.TimestampType):
-        return [(c, F.unix_micros(c).cast("double"))]
-    if isinstance(kind, T.TimestampNTZType):
-        clock = F.hour(c) * 3600 + F.minute(c) * 60 + F.date_part(F.lit("second"), c)
-        day = F.unix_date(c.cast("date")).cast("bigint")
-        return [(c, (day * 86400 + clock).cast("double"))]
-    return [(c, F.when(c.isNotNull(), F.lit(0.0)))]
-
-
-def _constant(value: Column) -> Column:
-    """All rows of the group agree on the value (or all have none)."""
-    return F.min(value).eqNullSafe(F.max(value)) & F.count(value).isin(F.lit(0), F.count("*"))
+
+def _borders(df: DataFrame, keys, place: Column) -> DataFrame:
+    """Per key a sorted array of places that cut its rows into chunks of about half the
+    limit. They are quantiles of drawn rows, settled once: they decide which task a row
+    goes to, not what comes out."""
+    half = max(1, _setting(df, HOT_ROWS_KEY, HOT_ROWS) // 2)
+    share = min(1.0, _DRAWN / half)
+    drawn = df.select(*keys, place.alias("_place"))
+    drawn = drawn if share == 1.0 else drawn.sample(share, seed=17)
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("_place"))
+    cuts = drawn.withColumn("_n", number).where(F.col("_n") % max(1, round(share * half)) == 0)
+    return cuts.groupBy(*keys).agg(F.sort_array(F.collect_set("_place")).alias("_borders"))
+
+
+def _chunk(borders: Column, place: Column) -> Column:
+    """How many borders are not after the place: blocks of borders first, then one block."""
+    width = F.ceil(F.sqrt(F.size(borders))).cast("int")
+
+    def not_after(some: Column) -> Column:
+        return F.size(F.filter(some, lambda b: b <= place))
+
+    blocks = F.ceil(F.size(borders) / width).cast("int")
+    firsts = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.get(borders, i * width))
+    block = F.greatest(not_after(firsts) - 1, F.lit(0))
+    return block * width + not_after(F.slice(borders, block * width + 1, width))
 
 
 def ordered_chunks(df: DataFrame, keys, order) -> tuple[DataFrame, list[str]]:
-    """Add chunk columns that split every oversized group along ``order``. Keys
-    must not be NULL; chunk columns never are.
-
-    Sorting by (chunk columns, order) equals sorting by order. A group is cut
-    into equal steps between its lowest and highest value; chunks that are still
-    too large are cut again, and where one value alone is too frequent the next
-    order column is used. Each step costs one pre-aggregated count. Text is cut by
-    its first 24 bytes.
+    """Add a chunk column that splits every oversized group along ``order``. Keys must
+    not be NULL; the chunk never is.
+
+    Sorting by (chunk, order) equals sorting by order. Borders are quantiles of the whole
+    tuple of order columns, texts in full; rows that tie in it are cut by the other
+    columns. Only rows that are equal in every column stay together in any number.
     """
-    limit = _setting(df, HOT_ROWS_KEY, HOT_ROWS)
-    chunks: list[str] = []
-    pieces = [piece for name in order for piece in _pieces(df, name)]
-    for depth, (_, p) in enumerate(pieces):
-        # Only groups that agree on everything before this piece may be cut by it;
-        # elsewhere the cut would break the order.
-        tied = reduce(lambda a, b: a & b, [_constant(v) for v, _ in pieces[:depth]], F.lit(True))
-        finite = F.when(~F.isnan(p) & (F.abs(p) != float("inf")), p)
-        for _ in range(_PASSES):
-            by = [*keys, *chunks]
-            oversized, small = counted(
-                df.groupBy(*by)
-                .agg(
-                    F.count("*").alias("_n"),
-                    F.min(finite).alias("_lo"),
-                    F.max(finite).alias("_hi"),
-                    (tied & ~_constant(p)).alias("_divisible"),
-                )
-                .where(F.col("_n") > limit)
-            )
-            if oversized.isEmpty():
-                return df, chunks
-            steps = oversized.where("_divisible").drop("_divisible")
-            if steps.isEmpty():
-                break
-            chunk = f"_chunk{len(chunks)}"
-            df = _cut(df, steps, by, p, limit, chunk, small)
-            chunks.append(chunk)
-    return df, chunks
-
-
-def _cut(df, stats, by, p, limit, chunk, small) -> DataFrame:
-    steps = F.ceil(F.col("_n") / limit) * _SPREAD
-    span = F.col("_hi") - F.col("_lo")
-    # -1 below, steps above, steps + 1 for NULL, which sorts last. Infinite
-    # values and NaN fall outside [lo, hi] and compare correctly.
-    step = (
-        F.when(F.col("_n").isNull(), F.lit(0))
-        .when(p.isNull(), steps + 1)
-        .when(F.isnan(p) | (p > F.col("_hi")), steps)
-        .when(p < F.col("_lo"), F.lit(-1))
-        .when(span > 0, F.least(F.floor((p - F.col("_lo")) / span * steps), steps - 1))
-        .otherwise(F.lit(0))
-    )
-    return (
-        df.join(F.broadcast(stats) if small else stats, by, "left")
-        .withColumn(chunk, step.cast("bigint"))
-        .drop("_n", "_lo", "_hi")
+    place = _place(df, keys, order)
+    borders, small = counted(_borders(df, keys, place))
+    if borders.isEmpty():
+        return df, []
+    joined = df.join(F.broadcast(borders) if small else borders, list(keys), "left")
+    chunk = F.when(F.col("_borders").isNull(), F.lit(0)).otherwise(
+        _chunk(F.col("_borders"), place)
     )
+    return joined.withColumn("_chunk0", chunk.cast("bigint")).drop("_borders"), ["_chunk0"]
 
 
 def chunk_join(df: DataFrame, summary: DataFrame, by) -> DataFrame:

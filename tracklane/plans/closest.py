@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tracklane.operators.keyed import append_distinct
 from tracklane.operators.nearest import entity_closest_flag, entity_distance, entity_distance_rank
 from tracklane.operators.runs import runs
-from tracklane.operators.skew import worth_probing
 from tracklane.session import settle
 
 BALL = -1
@@ -118,11 +117,13 @@ def possession_runs(flags: DataFrame, has_ball_dist_sq: float = 4) -> DataFrame:
 
 
 def game_possession(positions: DataFrame, has_ball_dist_sq: float = 4) -> DataFrame:
-    flags = closest_flags(positions).where("closest_to_ball")
-    if worth_probing(positions):
-        # Looking for large games reads the rows several times; keep the few that
-        # are closest instead of ranking all positions again.
-        flags = settle(flags)
+    # Looking for large games reads the rows several times. What the runs need of them,
+    # at most some rows per moment, is kept instead of ranking all positions again.
+    flags = settle(
+        closest_flags(positions).where(
+            F.col("closest_to_ball") & (F.col("distance_to_ball_sq") < has_ball_dist_sq)
+        )
+    )
     return possession_runs(flags, has_ball_dist_sq)
 
 

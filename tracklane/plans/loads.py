@@ -237,7 +237,7 @@ def only_games(rows: DataFrame, games: DataFrame, list_up_to: int = 1000) -> Dat
     ids = [r["gameid"] for r in wanted.limit(list_up_to + 1).collect()]
     if len(ids) <= list_up_to:
         return rows.where(F.col("gameid").isin(ids))
-    return rows.join(bounded_broadcast(wanted, rows), "gameid", "left_semi").select(*rows.columns)
+    return rows.join(bounded_broadcast(wanted), "gameid", "left_semi").select(*rows.columns)
 
 
 def refresh_closest_to_ball(

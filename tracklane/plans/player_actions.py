@@ -210,7 +210,7 @@ def player_actions(
     """
     expanded = in_games(playbyplay, season, game_range).withColumn("_a", F.explode(_actions()))
     joined = expanded.where(F.col("_a").isNotNull()).join(
-        bounded_broadcast(_lookup(codes), playbyplay),
+        bounded_broadcast(_lookup(codes)),
         (F.col("_a.lookup") == F.col("lookup"))
         & (F.col("eventmsgtype").cast("double") == F.col("lookup_type"))
         & (F.col("_a.code") == F.col("lookup_code")),

@@ -103,7 +103,7 @@ def team_shooting_side(
         "team_abbreviation",
         "season",
     )
-    joined = grid.join(bounded_broadcast(side, playbyplay), "gameid", "left").join(
+    joined = grid.join(bounded_broadcast(side), "gameid", "left").join(
         games,
         (F.col("gameid") == F.col("log_gameid")) & (F.col("teamid") == F.col("log_team")),
         "left",
