@@ -1,3 +1,5 @@
+import pytest
+
 from tracklane import session
 
 
@@ -17,3 +19,18 @@ def test_settled_rows_do_not_change(spark):
 
     settled = session.settle(spark.range(5).select(F.rand().alias("v")))
     assert settled.collect() == settled.collect()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())

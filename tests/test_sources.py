@@ -18,10 +18,10 @@ def team(number):
             "players": players}
 
 
-def moment(at, ball=True, shot=11.99):
-    entities = [[-1, -1, 23.4254, 45.12734, 3.64299]] if ball else []
+def moment(at, ball=True, shot=17.5):
+    entities = [[-1, -1, 31.5125, 18.0625, 2.75]] if ball else []
     entities += [[1610612761, 11, 19.5, 13.25, 0.0], [1610612762, 21, 23.0, 45.0, 0]]
-    return [1, 1451695252003 + at, 711.26, shot, None, entities]
+    return [1, 1451700000000 + at, 640.5, shot, None, entities]
 
 
 def document(gameid):
@@ -53,10 +53,10 @@ def test_tracking_tables(spark, rows, tmp_path):
     ).schema.simpleString()
     one = positions.where("gameid = '0021500492'")
     assert rows(one.where("playerid = -1"), "eventid", "moment_num", "shotclock", "x_coordinate") == [
-        (3, 0, 11.99, 23.4254), (3, 1, None, 23.4254),
+        (3, 0, 17.5, 31.5125), (3, 1, None, 31.5125),
     ]
     assert rows(one, "season", "timestamp_dts", "timestamp_utc", "period", "periodclock")[0] == (
-        "2015-2016", "2016-01-02 00:40:52Z", 1451695252003, 1, 711.26,
+        "2015-2016", "2016-01-02 02:00:00Z", 1451700000000, 1, 640.5,
     )
     assert one.count() == 8 and positions.count() == 16
     assert rows(tracking.flatten_game(docs)) == [
@@ -225,8 +225,11 @@ def test_gamelog_then_stats(spark, rows, tmp_path):
     assert rows(loads.season_bounds(stored)) == [("2015-2016", "10/27/2015", "10/31/2015")]
     manifest = writers.load_manifest(spark, log, schemas.GAME_LOG_MANIFEST)
     assert rows(manifest, "game_id", "team1", "team2", "gamelog_uploadedFLG", "base_url") == [
-        ("02", "ATL", "DET", 1, "u"), ("02", "DET", "ATL", 1, "u"),
-        ("03", "CHI", "CLE", 1, "u"), ("03", "CLE", "CHI", 1, "u"),
+        ("02", "DET", "ATL", 1, "u"), ("02", "DET", "ATL", 1, "u"),
+        ("03", "CLE", "CHI", 1, "u"), ("03", "CLE", "CHI", 1, "u"),
+    ]
+    assert rows(loads.games_between(manifest), "game_id", "team1", "team2") == [
+        ("02", "DET", "ATL"), ("03", "CLE", "CHI"),
     ]
     assert rows(loads.games_between(manifest, "2015-10-28"), "game_id") == [("03",)]
     assert rows(loads.games_between(manifest, None, "2015-10-28"), "game_id") == [("02",)]
@@ -335,3 +338,62 @@ def test_a_large_partition_is_cut_over_several_files(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list((tmp_path / "t/season=s/gameid=hot").glob("*.parquet"))) > 1
     assert readers.read_table(spark, path, "season string, gameid string, v bigint").count() == 200_000
+
+
+def test_documents_with_wrong_values_or_without_id_write_nothing(spark, rows, tmp_path):
+    wrong, nameless = document("0021500494"), document(None)
+    wrong["events"][0]["home"]["teamid"] = "abc"
+    for name, content in (("a", document("0021500492")), ("b", wrong), ("c", nameless)):
+        put(tmp_path / "raw", f"{name}.json", content)
+    paths = [str(tmp_path / n) for n in ("raw", "tables", "manifest")]
+    bad = loads.load_tracking(spark, *paths, loaded_at="2016-07-01")
+    assert rows(bad.select(F.substring_index("input_filename", "/", -1))) == [("b.json",), ("c.json",)]
+    for name in ("gameposition", "gameinfo", "playerinfo", "teaminfo"):
+        table = spark.read.parquet(f"{paths[1]}/{name}")
+        assert rows(table.select("gameid").distinct()) == [("0021500492",)], name
+    manifest = writers.load_manifest(spark, paths[2], schemas.TRACKING_MANIFEST)
+    flags = {r[0][-6:]: set(r[2:6]) for r in manifest.collect()}
+    assert flags == {"a.json": {1}, "b.json": {0}, "c.json": {0}}
+
+
+def test_partly_broken_responses_write_nothing(spark, rows, tmp_path):
+    gamelog_file(tmp_path / "log")
+    put(tmp_path / "log", "broken.json", '{"resource": "x", "resultSets": [{"name": "Leag')
+    tables, log = str(tmp_path / "tables"), str(tmp_path / "log_manifest")
+    bad = loads.load_gamelog(spark, str(tmp_path / "log"), tables, log, "now")
+    assert [r["input_filename"].endswith("broken.json") for r in bad.collect()] == [True]
+    manifest = writers.load_manifest(spark, log, schemas.GAME_LOG_MANIFEST)
+    assert rows(manifest.where("gamelog_uploadedFLG = 0"), "game_id", "lastuploadDTS") == [(None, "now")]
+
+    good = response(("PlayByPlay", PBP_HEADERS, [free_throw("02", 15, "8:15 PM")]))
+    good["resultSets"].append({"name": "AvailableVideo", "headers": "none", "rowSet": 7})
+    put(tmp_path / "pbp", "02.json", good)
+    games = loads.games_between(manifest.where("gamelog_uploadedFLG = 1"))
+    bad = loads.load_stats(
+        spark, str(tmp_path / "pbp"), tables, "playbyplay", games, str(tmp_path / "done"), "now"
+    )
+    assert bad.count() == 1
+    done = writers.load_manifest(spark, str(tmp_path / "done"), schemas.STATS_MANIFEST)
+    assert rows(done, "game_id", "fileuploadedFLG") == [("02", 0), ("03", 0)]
+
+
+def test_a_game_that_becomes_empty_loses_its_rows(spark, rows, tmp_path):
+    schema = "v int, season string, gameid string"
+    target, log = str(tmp_path / "derived"), str(tmp_path / "log")
+    first = spark.createDataFrame([(1, "s", "01"), (2, "s", "02"), (3, "s", "03")], schema)
+    loads.refresh_derived(first, target, log, "t1")
+    asked = first.where("gameid < '03'")
+    loads.refresh_derived(first.where("gameid = '01'"), target, log, "t2", games=asked)
+    assert rows(spark.read.parquet(target), "v", "gameid") == [(1, "01"), (3, "03")]
+    done = writers.load_manifest(spark, log, schemas.DERIVED_MANIFEST)
+    assert rows(done, "gameid", "lastuploadDTS") == [("01", "t2"), ("02", "t2"), ("03", "t1")]
+
+
+def test_an_unfinished_manifest_does_not_count(spark, rows, tmp_path):
+    path = str(tmp_path / "m")
+    one = spark.createDataFrame([("s", "01", "", 1, "t1")], schemas.DERIVED_MANIFEST)
+    for _ in range(3):
+        writers.save_manifest(one, path)
+    assert len(list((tmp_path / "m").glob("version-*"))) == 2
+    (tmp_path / "m" / "version-000000000009").mkdir()
+    assert rows(writers.load_manifest(spark, path, schemas.DERIVED_MANIFEST), "gameid") == [("01",)]

@@ -29,8 +29,14 @@ from tracklane.sources.readers import (
     read_result_sets,
     read_table,
     read_tracking,
+    usable,
+)
+from tracklane.sources.writers import (
+    load_manifest,
+    remove_partitions,
+    save_manifest,
+    write_table,
 )
-from tracklane.sources.writers import load_manifest, save_manifest, write_table
 
 _TABLES = ("gameinfo", "gameposition", "playerinfo", "teaminfo")
 
@@ -46,21 +52,23 @@ def load_tracking(
 ) -> DataFrame:
     """Tracking documents → gameinfo, gameposition, playerinfo, teaminfo.
 
-    Returns the documents that could not be parsed. The documents are read twice:
+    Returns the documents that could not be parsed as a whole or have no game id;
+    they write no rows and are flagged 0. The documents are read twice:
     once for their short heads, from which the small tables are made, and once for
     the positions. With one document per file a task holds whole games, and the
     positions are written without a shuffle.
     """
     docs = read_tracking(spark, source, multiline)
     heads = settle(tracking.document_heads(docs, "input_filename", CORRUPT))
-    good = heads.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    positions = tracking.flatten_positions(docs, season)
+    fit = usable("gameid")
+    good = heads.where(fit).drop(CORRUPT)
+    positions = tracking.flatten_positions(docs.where(fit), season)
     write_table(positions, f"{target}/gameposition", rebalance=not multiline)
     write_table(tracking.flatten_game(good, season), f"{target}/gameinfo")
     write_table(tracking.flatten_players(good, season), f"{target}/playerinfo")
     write_table(tracking.flatten_teams(good, season), f"{target}/teaminfo")
 
-    flag = F.when(F.col(CORRUPT).isNull(), 1).otherwise(0)
+    flag = F.when(fit, 1).otherwise(0)
     rows = heads.select(
         "input_filename",
         "gameid",
@@ -71,7 +79,13 @@ def load_tracking(
     save_manifest(
         upsert_manifest(manifest, rows, ["input_filename"], "lastuploadDTS"), manifest_path
     )
-    return heads.where(F.col(CORRUPT).isNotNull()).select("input_filename", CORRUPT)
+    return heads.where(~fit).select("input_filename", CORRUPT)
+
+
+def _broken(docs: DataFrame) -> DataFrame:
+    """Responses that could not be parsed as a whole: file name and text. All columns are
+    read, as Spark only notices what is wrong in columns that it reads."""
+    return settle(docs.where(~usable())).select("input_filename", CORRUPT)
 
 
 def _as_game_table(df: DataFrame) -> DataFrame:
@@ -89,27 +103,41 @@ def load_gamelog(
     season: str = result_sets.SEASON,
     base_url: str = "",
     params: str = "",
-) -> None:
-    """Game log responses → gamelog, with one manifest row per game and team."""
-    log = result_sets.gamelog(read_result_sets(spark, source), season)
+) -> DataFrame:
+    """Game log responses → gamelog, with one manifest row per game and team.
+
+    Returns the responses that could not be parsed as a whole; they write no rows, and
+    each adds a manifest row without a game and with flag 0.
+    """
+    docs = read_result_sets(spark, source)
+    log = result_sets.gamelog(docs.where(usable()), season)
     log = log.where(F.col("game_id").isNotNull())
     write_table(_as_game_table(log), f"{target}/gamelog")
-    team1, team2 = matchup_teams("matchup")
-    rows = log.select(
-        "season", "game_date", "game_id", team1.alias("team1"), team2.alias("team2")
+    broken = _broken(docs)
+    constants = {"lastuploadDTS": loaded_at, "base_url": base_url, "params": params}
+    failed = broken.select(
+        F.lit(season).alias("season"),
+        *[F.lit(None).cast("string").alias(c) for c in ("game_date", "game_id", "team1", "team2")],
     )
     manifest = load_manifest(spark, manifest_path, schemas.GAME_LOG_MANIFEST)
+    manifest = append_manifest(
+        manifest, gamelog_manifest_rows(log), gamelog_uploadedFLG=1, **constants
+    )
     save_manifest(
-        append_manifest(
-            manifest,
-            rows,
-            gamelog_uploadedFLG=1,
-            lastuploadDTS=loaded_at,
-            base_url=base_url,
-            params=params,
-        ),
-        manifest_path,
+        append_manifest(manifest, failed, gamelog_uploadedFLG=0, **constants), manifest_path
     )
+    return broken
+
+
+def gamelog_manifest_rows(log: DataFrame) -> DataFrame:
+    """One row per game and team with the game's two teams, the same in both rows: those
+    of its ``visitor @ home`` line, or of its first line in text order if it has none."""
+    first = F.min(F.struct(~F.contains("matchup", F.lit("@")), F.col("matchup")))["matchup"]
+    pairs = log.groupBy("game_id").agg(first.alias("pair"))
+    team1, team2 = matchup_teams("pair")
+    return log.select("season", "game_date", "game_id").join(
+        pairs.select("game_id", team1.alias("team1"), team2.alias("team2")), "game_id"
+    ).select("season", "game_date", "game_id", "team1", "team2")
 
 
 def games_between(gamelog_manifest: DataFrame, start=None, end=None) -> DataFrame:
@@ -149,18 +177,20 @@ def load_stats(
     season: str = result_sets.SEASON,
     base_url: str = "",
     params: str = "",
-) -> None:
-    """Stats responses of one kind → its table.
+) -> DataFrame:
+    """Stats responses of one kind → its table. Returns the responses that could not be
+    parsed as a whole; they write no rows.
 
     ``kind`` is playbyplay, boxscore_traditional or boxscore_player. ``games``
     (see ``games_between``) names the games to load and fills the manifest; a game
     without a usable response is flagged 0.
     """
     docs = read_result_sets(spark, source)
+    good = docs.where(usable())
     if kind == "playbyplay":
-        rows = result_sets.play_by_play(docs, season)
+        rows = result_sets.play_by_play(good, season)
     else:
-        rows = result_sets.boxscore(docs, kind.removeprefix("boxscore_"), season)
+        rows = result_sets.boxscore(good, kind.removeprefix("boxscore_"), season)
     rows = rows.where(F.col("game_id").isNotNull())
     rows = rows.join(games.select("game_id"), "game_id", "left_semi")
     write_table(_as_game_table(rows), f"{target}/{kind}")
@@ -179,6 +209,7 @@ def load_stats(
     )
     manifest = load_manifest(spark, manifest_path, schemas.STATS_MANIFEST)
     save_manifest(upsert_manifest(manifest, done, ["game_id"], "lastuploadDTS"), manifest_path)
+    return _broken(docs)
 
 
 def insert_csv(
@@ -213,13 +244,18 @@ def refresh_derived(
     """Write a derived table (closest to ball, player actions, shooting side) for
     the games it holds and record them. Existing data of those games is replaced.
 
-    ``games`` names the games if that is cheaper than taking them from ``derived``:
-    its (season, gameid) columns may come straight from a partitioned base table.
+    ``games`` (season, gameid) names the games that were asked for; it may come straight
+    from a partitioned base table. A game of these without rows loses its old partition
+    and is recorded like the others.
     """
     spark = derived.sparkSession
     write_table(derived, target, rebalance=rebalance)
-    written = (derived if games is None else games).select("season", "gameid").distinct()
-    rows = written.select(
+    made = derived.select("season", "gameid").distinct()
+    if games is not None:
+        made, asked = settle(made), settle(games.select("season", "gameid").distinct())
+        remove_partitions(target, asked.join(made, ["season", "gameid"], "left_anti"))
+        made = asked
+    rows = made.select(
         "season",
         "gameid",
         F.lit(params).alias("params"),

@@ -27,12 +27,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and scratch tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only when neither that nor a
-    checkpoint directory is set (tests on one machine) is a temporary one made.
+    A cluster names it in ``spark.checkpoint.dir``; without it this fails there, as
+    executors do not see each other's folders. A local master gets a temporary one.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if sc.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tracklane-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)

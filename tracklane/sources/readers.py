@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklane.functions import path_value
@@ -38,6 +40,11 @@ def _documents(spark, path, schema, multiline) -> DataFrame:
     )
 
 
+def usable(*ids: str) -> Column:
+    """The document could be parsed as a whole and has all of the ids."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ids], F.col(CORRUPT).isNull())
+
+
 def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good documents, broken ones as file name and text)."""
     bad = docs.where(F.col(CORRUPT).isNotNull()).select("input_filename", CORRUPT)

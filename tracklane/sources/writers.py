@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklane.operators.keyed import check_columns
-from tracklane.session import settle
 from tracklane.sources.schemas import columns
 
 GAME_PARTITION = ("season", "gameid")
@@ -60,9 +59,44 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for a folder in any store."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_partitions(path: str, games: DataFrame) -> None:
+    """Delete the partitions of the given (season, gameid) rows, as far as they exist."""
+    spark = games.sparkSession
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in games.select(*GAME_PARTITION).toLocalIterator():
+        parts = [f"{name}={escape(row[name])}" for name in GAME_PARTITION if row[name] is not None]
+        if len(parts) == len(GAME_PARTITION):
+            files, place = _folder(spark, "/".join([path.rstrip("/"), *parts]))
+            files.delete(place, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of a manifest, oldest first."""
+    files, place = _folder(spark, path)
+    if not files.exists(place):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(place)]
+    done = "{}/{}/_SUCCESS".format
+    return sorted(
+        n
+        for n in names
+        if n.startswith("version-") and files.exists(_folder(spark, done(path.rstrip("/"), n))[1])
+    )
+
+
 def load_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The manifest at ``path``, or an empty one. Fails when its columns differ."""
+    """The newest complete version of the manifest at ``path``, or a plain Parquet table
+    there, or an empty manifest. Fails when the columns differ."""
     names = [n for n, _ in columns(schema)]
+    versions = _versions(spark, path)
+    if versions:
+        path = f"{path.rstrip('/')}/{versions[-1]}"
     try:
         return check_columns(spark.read.parquet(path), names)
     except AnalysisException as error:
@@ -72,6 +106,12 @@ def load_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def save_manifest(manifest: DataFrame, path: str) -> None:
-    """Rewrite the manifest. Its rows are made durable first, because they may come
-    from the very files that are replaced."""
-    settle(manifest).write.mode("overwrite").parquet(path)
+    """Write a new version of the manifest beside the old ones. A crash leaves the last
+    complete version in force; those before it are removed once the new one is there."""
+    spark, top = manifest.sparkSession, path.rstrip("/")
+    old = _versions(spark, path)
+    number = int(old[-1].removeprefix("version-")) + 1 if old else 1
+    manifest.write.mode("overwrite").parquet(f"{top}/version-{number:012d}")
+    for name in old[:-1]:
+        files, place = _folder(spark, f"{top}/{name}")
+        files.delete(place, True)
