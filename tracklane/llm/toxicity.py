@@ -7,8 +7,8 @@ words; a logistic unit scores the window. Windows overlap by half and cover the
 a document's score is that of its worst window.
 
 The network is trained in numpy, on the driver, on at most ``MAX_TOXIC`` and ``MAX_CLEAN``
-labelled documents of at most ``MAX_TRAINING_CHARS`` characters (those whose ids have the
-smallest hashes). A document teaches through its highest window. Embeddings start from the
+labelled documents (those whose ids have the smallest hashes; of these the ones of at most
+``MAX_TRAINING_CHARS`` characters). A document teaches through its highest window. Embeddings start from the
 log-odds of their bucket in these documents. Only text is an input. Scoring is a map over
 all documents; each task holds the network, well under a megabyte, and a bounded number of
 words and windows.
@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklane.llm.licenses import normalised
+from tracklane.session import settle
 
 MAX_TOXIC, MAX_CLEAN, MAX_TRAINING_CHARS = 1500, 2500, 12_000
 WINDOW, STRIDE = 48, 24
@@ -339,19 +340,25 @@ def _bucket(id_col: Column) -> Column:
 
 
 def training_set(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, folds: int):
-    rows = (
-        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        .where(F.length("text") <= MAX_TRAINING_CHARS)
-        .join(labels.select(F.col(id_col).alias("doc_id"), "toxic"), "doc_id")
-        .where(_bucket(F.col("doc_id")) % folds != 0)
+    """(text, label) of the documents that teach. They are chosen from the labels alone, so
+    that only the chosen ids, at most MAX_TOXIC + MAX_CLEAN, go to the documents' tasks."""
+    marked = labels.select(F.col(id_col).alias("label_id"), "toxic").where(
+        _bucket(F.col("label_id")) % folds != 0
     )
     chosen = [
-        rows.where(F.col("toxic") == label)
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .limit(most)
+        marked.where(F.col("toxic") == label).orderBy(F.xxhash64("label_id"), "label_id").limit(most)
         for label, most in ((1, MAX_TOXIC), (0, MAX_CLEAN))
     ]
-    return [(r.text, r.toxic) for part in chosen for r in part.select("text", "toxic").collect()]
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    found = (
+        texts.where(F.length("text") <= MAX_TRAINING_CHARS)
+        .join(F.broadcast(settle(chosen[0].unionAll(chosen[1]))), F.col("doc_id") == F.col("label_id"))
+        .select("doc_id", "text", "toxic")
+        # rows that repeat a labelled id teach no more than the limits say
+        .orderBy(F.col("toxic").desc(), F.xxhash64("doc_id"), "text")
+        .limit(MAX_TOXIC + MAX_CLEAN)
+    )
+    return [(r.text, r.toxic) for r in found.collect()]
 
 
 def score(
