@@ -20,7 +20,7 @@ def _json(*parts) -> Column:
 def _parsed(rows: DataFrame, document: Column) -> DataFrame:
     # A small table arrives as one split, and parsing is all computation: spread its
     # rows over the cores, and those of a large table over as many tasks as shuffles have.
-    rows = rows.repartition(F.xxhash64(F.struct("*")))
+    rows = rows.repartition(*rows.columns)
     # The generator makes each document a value of its own. As a plain expression
     # it would be parsed again by every filter that is inferred from it.
     return rows.select(F.explode_outer(F.array(document)).alias("d")).select("d.*")

@@ -46,7 +46,7 @@ from tracklane.operators.keyed import (
     upsert_manifest,
 )
 from tracklane.plans import closest, loads, shooting_side
-from tracklane.plans.player_actions import MISSED_SHOT_TEXTS, SHOT_TEXTS, player_actions
+from tracklane.plans.player_actions import player_actions
 from tracklane.session import scratch_path
 from tracklane.sources import event_codes, legacy, readers, result_sets, schemas, tracking, writers
 
@@ -356,10 +356,33 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(text(v) for v in row) + ")" for row in rows)
 
 
-_LISTED = [(1, c, "field goal made", t) for c, t in SHOT_TEXTS.items()] + [
-    (2, c, "field goal missed", t) for c, t in MISSED_SHOT_TEXTS.items()
+# Fixed values, stated again here so that the SQL does not depend on the library.
+_MADE = [
+    (1, "jump shot"),
+    (5, "layup shot"),
+    (7, "slam dunk shot"),
+    (57, "hook shot"),
+    (71, "finger roll layup shot"),
+    (73, "driving reverse layup shot"),
+    (75, "driving finger roll layup shot"),
+    (76, "running finger roll layup shot"),
+    (79, "pull up jump shot"),
+    (81, "pull up bank jump shot"),
+    (85, "turnaround bank jump shot"),
+    (87, "putback slam dunk shot"),
+    (102, "driving floating bank jump shot"),
+    (106, "running aley oop dunk shot"),
+    (107, "tip dunk shot"),
+    (108, "cutting dunk shot"),
+    (109, "driving reverse dunk shot"),
+]
+_MISSED = [(c, "driving bank jump shot" if c == 102 else t) for c, t in _MADE]
+_LISTED = [(1, c, "field goal made", t) for c, t in _MADE]
+_LISTED += [(2, c, "field goal missed", t) for c, t in _MISSED]
+_MESSAGE = [
+    (1, 3), (2, 3), (3, 1), (4, 2), (5, 4), (6, 4), (7, 5), (8, 6), (9, 7), (10, 8), (11, 9),
+    (12, 10), (13, 11), (14, 12), (15, 13),
 ]
-_MESSAGE = list(event_codes.MESSAGE_TYPES.items())
 _MISS, _ASSIST, _STEAL, _THREE = (
     f"(homedescription LIKE '{p}' OR visitordescription LIKE '{p}')"
     for p in ("MISS %", "% AST)", "% STEAL %", "% 3PT %")
@@ -610,6 +633,32 @@ def path_partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.partition_keys(adapt(spark, sf_dir, _ARCHIVES), "path")
 
 
+_TWO_LINES = """
+SELECT CAST(year(o_orderdate) AS STRING) AS season,
+       CAST(CAST(o_orderdate AS DATE) AS STRING) AS game_date,
+       lpad(CAST(o_orderkey AS STRING), 10, '0') AS game_id,
+       concat('V', CAST(o_custkey % 30 AS STRING), ' @ H', CAST(o_custkey % 29 AS STRING)) AS matchup
+FROM {orders}
+UNION ALL
+SELECT CAST(year(o_orderdate) AS STRING), CAST(CAST(o_orderdate AS DATE) AS STRING),
+       lpad(CAST(o_orderkey AS STRING), 10, '0'),
+       concat('H', CAST(o_custkey % 29 AS STRING), ' vs. V', CAST(o_custkey % 30 AS STRING))
+FROM {orders}
+"""
+
+
+@_query(
+    """
+    SELECT year(o_orderdate)::VARCHAR AS season, o_orderdate::DATE::VARCHAR AS game_date,
+           lpad(o_orderkey::VARCHAR, 10, '0') AS game_id, 'V' || o_custkey % 30 AS team1,
+           'H' || o_custkey % 29 AS team2
+    FROM orders, range(2)"""
+)
+def gamelog_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both rows of a game name visitor and home."""
+    return loads.gamelog_manifest_rows(adapt(spark, sf_dir, _TWO_LINES))
+
+
 _DATED = """
 SELECT CAST(year(o_orderdate) AS STRING) AS season,
        CAST(CAST(o_orderdate AS DATE) AS STRING) AS game_date,
@@ -1072,3 +1121,23 @@ def closest_to_ball_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "closest_to_ball")
     writers.write_table(closest.closest_to_ball(adapt(spark, sf_dir, POSITIONS)), path)
     return readers.read_table(spark, path, schemas.CLOSEST_TO_BALL)
+
+
+@_query(
+    _with(stored=_STORED)
+    + """SELECT season, gameid, o_orderkey, o_totalprice, o_orderpriority FROM stored
+         WHERE season <> '1996' OR o_totalprice > (SELECT avg(o_totalprice) FROM stored)"""
+)
+def replace_empty_game(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A season is asked for again; its games without rows now lose their partitions."""
+    path, log = scratch_path(spark, "games"), scratch_path(spark, "games-log")
+    rows = adapt(spark, sf_dir, _STORED).select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", "season", "gameid"
+    )
+    loads.refresh_derived(rows, path, log, "t1")
+    mean = rows.agg(F.avg("o_totalprice").alias("mean"))
+    asked = rows.where("season = '1996'")
+    kept = asked.join(F.broadcast(mean), F.col("o_totalprice") > F.col("mean")).drop("mean")
+    loads.refresh_derived(kept, path, log, "t2", games=asked)
+    schema = "season string, gameid string, o_orderkey bigint, o_totalprice double, o_orderpriority string"
+    return readers.read_table(spark, path, schema)
