@@ -7,13 +7,14 @@ in a bin with the probability of their similarity. Bands of four bins name bucke
 
 Candidates come from buckets in two steps. Every bucket becomes a star around the member
 that shares most buckets with others, so its pairs are as many as its members. Links are
-confirmed on the full shingle sets and connected into groups. What is left are pairs of
-one bucket in different groups. Each of them is compared too, by sketches of 1024 bits
-inside the join, and only pairs whose sketches allow a link leave it, once each, to be
-confirmed. Their number is counted before: beyond ``COMPARED_PER_DOCUMENT`` times the
-documents, random members are compared with all others of their buckets, as many as keep
-within it, and retire; this repeats until no pair is left. So no pair of a bucket is lost
-between groups, and the work is done in steps of bounded size.
+confirmed on the full shingle sets and connected into groups; candidates, links or not, are
+connected into families. What is left are pairs of one family in different groups. Each of
+them is compared inside a join on the family that only links leave: first by set sizes and
+sketches of 1024 bits, then, if these allow a link, on the full sets. The number of pairs is
+counted before: beyond ``COMPARED_PER_DOCUMENT`` times the documents, random members are
+compared with all others of their families, as many as keep within it, and retire; this
+repeats until no pair is left. So no pair of a bucket is lost, no pairs are written out, and
+the work is done in steps of bounded size.
 
 Texts with equal shingle sets are one document to all of this. Similar texts of at least
 0.8 miss all 32 bands with probability (1 - 0.8^4)^32 = 5e-8; their sketches are further
@@ -50,7 +51,7 @@ COMPARED_PER_DOCUMENT = 4096
 BROADCAST_BYTES = 8 << 20
 
 
-_COMPARED = ("node", "n", "root", "sketch", "bands")
+_COMPARED = ("node", "root", "sketch", "shingles")
 
 
 class Bins:
@@ -155,7 +156,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int):
-    """node, shingles (8 bytes each, sorted), sketch for ``wanted`` (node, doc_id, text_key)."""
+    """node, shingles, sketch for ``wanted`` (node, doc_id, text_key)."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,7 +164,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, s
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([x.tobytes() for x in sets], pa.binary()),
+                    pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
                     pa.array([sketch(x) for x in sets], pa.list_(pa.int64())),
                 ],
                 names=["node", "shingles", "sketch"],
@@ -179,7 +180,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, s
     at = texts.text_key == listed.text_key
     at = at & texts.doc_id.eqNullSafe(listed.doc_id)
     rows = texts.join(listed, at).select("node", "text")
-    sets = settle(rows.mapInArrow(build, "node binary, shingles binary, sketch array<long>"))
+    sets = settle(rows.mapInArrow(build, "node binary, shingles array<long>, sketch array<long>"))
     # rows repeated in full bring their set more than once
     if sets.count() > many:
         sets = settle(sets.dropDuplicates(["node"]))
@@ -193,8 +194,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = (v.values.to_numpy().view(np.uint64) for v in (x, y))
                 both = overlap(x, y)
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -208,93 +208,100 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _stars(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of every member a and the centre b of a bucket that may be links."""
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of every member a and the centre b of a bucket."""
     shared = members.groupBy("node").agg(F.sum("n_members").alias("weight"))
     centres = (
         members.join(shared, "node")
         .groupBy("bucket")
-        .agg(F.max(F.struct("weight", "node", "n")).alias("centre"))
-        .select("bucket", "centre.node", "centre.n")
+        .agg(F.max(F.struct("weight", "node")).alias("centre"))
+        .select("bucket", F.col("centre.node").alias("b"))
     )
-    sizes = members["n"], centres["n"]
-    pairs = (
+    return (
         members.join(centres, "bucket")
-        .where(members["node"] != centres["node"])
-        .where(100 * F.least(*sizes) >= percent * F.greatest(*sizes))
-        .select(members["node"].alias("a"), centres["node"].alias("b"))
+        .where(F.col("node") != F.col("b"))
+        .select(F.col("node").alias("a"), "b")
         .distinct()
     )
-    return (
-        pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a")
-        .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b")
-        .where(_sketches_agree("x", "y", percent))
-        .select("a", "b")
-    )
 
 
-def _in_several_groups(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with their group, of the buckets that have more than one; and ``others``,
-    the number of members of the bucket that are in other groups."""
+def _may_link(n: tuple, sketches: tuple, percent: int) -> Column:
+    """The sizes of two sets and their sketches allow a link."""
+    fits = 100 * F.least(*n) >= percent * F.greatest(*n)
+    return fits & _sketches_agree(*sketches, percent)
+
+
+def _of_members(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    for side in ("a", "b"):
+        known = sets.select(
+            F.col("node").alias(side), F.size("shingles").alias(f"{side}_n"),
+            F.col("sketch").alias(f"{side}_sketch"),
+        )
+        pairs = pairs.join(known, side)
+    fits = _may_link(("a_n", "b_n"), ("a_sketch", "b_sketch"), percent)
+    return pairs.where(fits).select("a", "b")
+
+
+def _in_several_groups(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Nodes (node, family) with their group, of the families that have more than one; and
+    ``others``, the number of nodes of the family that are in other groups."""
     roots = components(links)
-    found = members.join(roots, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("root", "node").alias("root")
+    found = nodes.join(roots, "node", "left").select(
+        "node", "family", F.coalesce("root", "node").alias("root")
     )
-    groups = found.groupBy("bucket", "root").agg(F.count("*").alias("own"))
-    buckets = groups.groupBy("bucket").agg(
+    groups = found.groupBy("family", "root").agg(F.count("*").alias("own"))
+    families = groups.groupBy("family").agg(
         F.count("*").alias("groups"), F.sum("own").alias("all")
     ).where("groups > 1")
-    groups = groups.join(buckets, "bucket").select(
-        "bucket", "root", (F.col("all") - F.col("own")).alias("others")
+    groups = groups.join(families, "family").select(
+        "family", "root", (F.col("all") - F.col("own")).alias("others")
     )
-    return settle(found.join(groups, ["bucket", "root"]))
+    return settle(found.join(groups, ["family", "root"]))
 
 
-def _between_groups(members: DataFrame, some: DataFrame, percent: int, both_ways: bool):
-    """Pairs (a, b) of one bucket, ``a`` a member and ``b`` one of ``some``, in different
-    groups and with sketches that allow a link. A pair comes from its first bucket only."""
-    x = members.select("bucket", *[F.col(c).alias(f"x_{c}") for c in _COMPARED])
-    y = some.select("bucket", *[F.col(c).alias(f"y_{c}") for c in _COMPARED])
+def _between_groups(nodes: DataFrame, some: DataFrame, percent: int, both_ways: bool):
+    """Links (a, b) of one family, ``a`` a node and ``b`` one of ``some``, between groups."""
+    x = nodes.select("family", *[F.col(c).alias(f"x_{c}") for c in _COMPARED])
+    y = some.select("family", *[F.col(c).alias(f"y_{c}") for c in _COMPARED])
     order = F.lit(True) if both_ways else F.col("x_node") < F.col("y_node")
-    sizes = F.col("x_n"), F.col("y_n")
+    sizes = F.size("x_shingles"), F.size("y_shingles")
+    both = F.size(F.array_intersect("x_shingles", "y_shingles"))
     return (
-        x.join(y, "bucket")
+        x.join(y, "family")
         .where(order & (F.col("x_root") != F.col("y_root")))
-        .where(100 * F.least(*sizes) >= percent * F.greatest(*sizes))
-        .where(_sketches_agree("x_sketch", "y_sketch", percent))
-        .where(F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("bucket"))
+        .where(_may_link(sizes, ("x_sketch", "y_sketch"), percent))
+        .where(100 * both >= percent * (sizes[0] + sizes[1] - both))
         .select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
     )
 
 
-def links_of(members: DataFrame, sets: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
+def links_of(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links (a, b) that connect what links between bucket members connect.
 
-    ``members`` has bucket, node, n (set size) and n_members of buckets with two or more;
-    ``sets`` node, shingles and sketch, ``bands`` node and bands of their documents.
+    ``members`` has bucket, node and n_members of buckets with two or more; ``sets`` node,
+    shingles and sketch of their documents.
     """
-    sketches = sets.select("node", "sketch")
-    links = settle(_confirmed(settle(_stars(members, sketches, percent)), sets, percent))
-    known = sketches.join(bands, "node")
+    candidates = settle(_stars(members))
+    families = components(candidates).select("node", F.col("root").alias("family"))
+    likely = settle(_of_members(candidates, sets, percent))
+    links = settle(_confirmed(likely, sets, percent))
     limit = COMPARED_PER_DOCUMENT * sets.count()
-    members = members.select("bucket", "node", "n")
+    nodes = families
     for step in range(1, 1 << 20):
-        members = _in_several_groups(members, links)
+        nodes = _in_several_groups(nodes, links)
         # every pair is counted from both sides
-        pairs = (members.agg(F.sum("others")).first()[0] or 0) // 2
+        pairs = (nodes.agg(F.sum("others")).first()[0] or 0) // 2
         if not pairs:
             break
-        full = members.join(known, "node")
+        full = nodes.join(sets, "node")
         if pairs <= limit:
-            new = _between_groups(full, full, percent, False)
-            links = links.unionByName(settle(_confirmed(settle(new), sets, percent)))
-            break
+            return links.unionByName(settle(_between_groups(full, full, percent, False)))
         chosen = F.pmod(F.xxhash64(F.lit(step), "node"), F.lit(1 << 30)) < F.lit(
             max(1, int((1 << 30) * limit / (2 * pairs)))
         )
         new = _between_groups(full, full.where(chosen), percent, True)
-        links = links.unionByName(settle(_confirmed(settle(new), sets, percent)))
-        members = members.where(~chosen).select("bucket", "node", "n")
+        links = links.unionByName(settle(new))
+        nodes = nodes.where(~chosen).select("node", "family")
     return links
 
 
@@ -314,20 +321,19 @@ def near_classes(
         .groupBy("node")
         .agg(
             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one"),
-            F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
         )
-        .select("node", "one.doc_id", "one.text_key", "n", "bands")
+        .select("node", "one.doc_id", "one.text_key", "bands")
     )
-    buckets = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n_members")).where("n_members > 1")
-    members = settle(buckets.join(sizes, "bucket").select("bucket", "node", "n", "n_members"))
+    members = settle(buckets.join(sizes, "bucket").select("bucket", "node", "n_members"))
     wanted = settle(
         nodes.select("node", "doc_id", "text_key")
         .join(members.select("node").distinct(), "node", "left_semi")
     )
     sets = _full_sets(docs, wanted, id_col, text_col, size)
-    roots = components(links_of(members, sets, nodes.select("node", "bands"), percent))
+    roots = components(links_of(members, sets, percent))
     nodes = nodes.select("node", "doc_id").join(roots, "node", "left")
     nodes = nodes.select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     groups = nodes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
