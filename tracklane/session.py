@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +23,25 @@ SETTINGS = {
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for each application: they need not
+    have it installed or on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tracklane_shipped", False):
+        return
+    top = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tracklane-")) / "tracklane.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(top.rglob("*.py")):
+            out.write(file, file.relative_to(top.parent))
+    sc.addPyFile(str(archive))
+    sc._tracklane_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and scratch tables.
 
