@@ -18,27 +18,32 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the base rule or a certified cutoff rejects."""
+    configure(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality.keep_good(docs, labels)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each text."""
+    configure(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates."""
+    configure(spark)
     return minhash.drop_near_copies(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take documents until every source has its share; some come twice."""
+    configure(spark)
     return mixing.mix_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the documents' tokens into sequences; one row per piece."""
+    configure(spark)
     return packing.pack(docs)
 
 
@@ -52,7 +57,6 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
