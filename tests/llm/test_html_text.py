@@ -70,3 +70,16 @@ def test_style_nodes_count_containers_once():
     nodes = style_nodes("<body><div>a</div><div>b</div><p>c</body>")
     assert set(nodes) == {"", "/body", "/body/div", "/body/div[2]"}
     assert nodes["/body"][2] == 3
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article>a<svg class='i'/>b<p>c</article>", "ab\nc"),
+        ("<article>a<math/>b<p>c<math><mi>no</mi></math>d</article>", "ab\ncd"),
+        ("<article>a<svg viewBox='0 0 1 1'>b<p>c</article>", "ab\nc"),
+        ("<article>a<SVG><text>no</text></SVG>b</article>", "ab"),
+    ],
+)
+def test_foreign_elements_that_are_empty_or_left_open(page, text):
+    assert main_text(page) == text

@@ -44,6 +44,8 @@ BROADCAST_BYTES = 8 << 20
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noscript template svg math".split())
+#: Of these, the ones that may be empty (``<svg/>``) and do not hide a page they are left open in.
+FOREIGN = frozenset({"svg", "math"})
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code del dfn em font i img ins kbd label mark q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr".split()
@@ -140,8 +142,11 @@ def walk(page: str) -> Iterator[tuple[str, list[_Node], str]]:
                 yield "break", stack, ""
             continue
         if tag in RAW:
+            if tag in FOREIGN and found[3].endswith("/"):
+                continue
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else size
+            if end or tag not in FOREIGN:
+                at = end.end() if end else size
             continue
         node = _element(tag, found[3], stack[-1])
         stack.append(node)
