@@ -83,3 +83,33 @@ def test_style_nodes_count_containers_once():
 )
 def test_foreign_elements_that_are_empty_or_left_open(page, text):
     assert main_text(page) == text
+
+
+def texts_of(spark, pages):
+    rows = [(k, "https://a.example.com/", page) for k, page in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return [r.text for r in extract(df).orderBy("page_id").collect()]
+
+
+def words(k, n=30):
+    return " ".join(f"w{k}x{i}" for i in range(n))
+
+
+def test_blocks_of_copies_stay(spark):
+    block = "<ul><li>Flour and 2 eggs<li>Milk</ul><blockquote>Stir well</blockquote>"
+    varied = [f"<article><h1>T{k}</h1><p>{words(k)}</article>" for k in range(20)]
+    copies = [f"<article><h1>Cake</h1><p>{words('c')}{block}</article>"] * 12
+    near = [f"<article><h1>Pie {k}</h1><p>{words('p')}{block}</article>" for k in range(10)]
+    got = texts_of(spark, varied + copies + near)
+    for text in got[20:]:
+        assert text.endswith("Flour and 2 eggs\nMilk\nStir well")
+
+
+def test_real_blocks_stay_where_most_pages_have_the_same(spark):
+    def page(k):
+        block = f"Erratum {words(f'e{k}', 9)}" if k % 20 == 0 else "Nothing was corrected"
+        return f"<article><p>{words(k)}</p><section>{block}</section></article>"
+
+    for k, text in enumerate(texts_of(spark, [page(k) for k in range(200)])):
+        blocks = text.split("\n")
+        assert blocks[1:] == ([f"Erratum {words(f'e{k}', 9)}"] if k % 20 == 0 else [])

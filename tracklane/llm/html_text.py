@@ -1,21 +1,28 @@
 """Main text of web pages with the help of site style trees.
 
-All pages of a host are laid over each other. A node of this tree is a path of elements
-(tag and classes, with a number for repeated containers); for every node two entropies over
-the host's pages say how much its presentation (the sequence of its children) and its
-content (the text below it) vary. The importance of a node is that of its children and of
-its own presentation, weighted as in a site style tree: a node with many children counts
-mostly by its presentation. Branches of which no part varies, compared with the site's
-pages as wholes, are the site's own and are cut from each page. So are elements that say by
-their tag or class that they are menus, adverts, comments and the like. What is left of the
-article (``article`` or ``main``; the body where a page has none) is the main text.
-
-The tree is aggregated by Spark from one row per page and node. The unimportant branches
-are broadcast if their size, which is added up first, is within ``BROADCAST_BYTES``; else
-they meet the pages in a join on the host.
+All pages of a host are laid over each other, equal pages once. A node of this tree is a
+path of elements (tag and classes, with a number for repeated containers). The content of
+a node are its features: each word of a short text, and longer texts as wholes. A feature
+that stands on k of the host's m pages has the importance 1 - log k / log m: 1 on a single
+page, 0 on all. A node's importance is composed from below as in a site style tree: of its
+own features, of its children, and of the entropy of its presentation (the sequence of its
+children; pages without the node are a value of their own), which counts the more the more
+children there are. A branch is unimportant if it and everything below it are, compared
+with the content of the host's whole pages.
+
+Of an unimportant branch a page loses only what is the site's own there: the branch is cut
+from a page if at least three quarters of its words on that page, in an article all of
+them, belong to features that are unimportant themselves; in an article such features must
+stand on most pages of the host. Elements that say by their tag or class that they are
+menus, adverts, comments and the like are cut always. What is left of the article
+(``article`` or ``main``; the body where a page has none) is the main text.
+
+The features are counted by Spark from one row per page, node and feature; what is composed
+per host is one row per node. The unimportant branches are broadcast if their size, which is
+added up first, is within ``BROADCAST_BYTES``; else they meet the pages in a join on the host.
 
 Defined cases: null or empty html has no text; a null url is a host of its own; a host
-with fewer than ``MIN_PAGES`` pages has no branches to cut; repeated rows count and are
+with fewer than ``MIN_PAGES`` different pages has no branches to cut; repeated rows are
 returned once each; unclosed and misnested elements are closed as browsers do in common
 cases; other columns are ignored whatever their names; an empty table gives an empty result.
 """
@@ -23,23 +30,30 @@ cases; other columns are ignored whatever their names; an empty table gives an e
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklane.llm.url_filters import host_and_path
 from tracklane.session import settle
 
 MIN_PAGES = 8
-#: Importance below this share of the whole pages' own is the site's, not the page's.
+#: Importance below this share of the whole pages' own is the site's, not the page's. So many
+#: of a block's words may differ from the site's outside articles.
 LEAST_IMPORTANCE = 0.25
 #: Weight that each child takes from its parent's presentation.
 DAMPING = 0.9
 BROADCAST_BYTES = 8 << 20
+#: Texts of at most so many words are compared word by word.
+SHORT_WORDS = 12
+#: Features on fewer pages are never the site's: MIN_PAGES ** (1 - LEAST_IMPORTANCE), rounded down.
+LEAST_REPEATS = 4
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -158,7 +172,8 @@ def _element(tag: str, attributes: str, parent: _Node) -> _Node:
     if attributes and "=" in attributes:
         shown = _CLASS.search(attributes)
         if shown:
-            label += "." + _DIGITS.sub("0", (shown[1] or shown[2] or shown[3] or "").strip())
+            names = (shown[1] or shown[2] or shown[3] or "").strip()
+            label += "." + _DIGITS.sub("0", names).replace("/", ":")
         # of articles, only those inside another may be readers' comments
         if (tag not in MAIN or parent.main) and tag not in ("html", "body"):
             words = {
@@ -186,13 +201,53 @@ def _squeezed(parts: list[str]) -> str:
     return " ".join(text.split())
 
 
-def main_text(page: str | None, cut: Iterable[str] = ()) -> str:
-    """Blocks of the page's article without the branches whose paths are in ``cut``."""
-    cut = frozenset(cut)
+def _features(path: str, text: str) -> Iterator[tuple[int, int]]:
+    """(hash of path and feature, words) of a text directly below a node."""
+    words = text.split()
+    for feature in words if len(words) <= SHORT_WORDS else [" ".join(words)]:
+        key = f"{path}\0{feature}".encode("utf-8", "surrogatepass")
+        size = 1 if len(words) <= SHORT_WORDS else len(words)
+        yield xxhash.xxh3_64_intdigest(key) - (1 << 63), size
+
+
+def _leaf(stack: list[_Node]) -> _Node:
+    """The element a text belongs to: the nearest that is not inline."""
+    return next(node for node in reversed(stack) if node.tag not in INLINE)
+
+
+def _branches_to_drop(page: str, cut: frozenset[str], site: frozenset[int]) -> set[int]:
+    """Of the elements in order, those in ``cut`` whose words are the site's on this page."""
+    drop: set[int] = set()
+    # depth, number, words, words that are not the site's, in an article
+    count, open_cuts, done = 0, [], []
+    for kind, stack, text in walk(page):
+        node = stack[-1]
+        if kind == "open":
+            count += 1
+            if node.path in cut and node.tag not in MAIN:
+                open_cuts.append([len(stack), count, 0, 0, node.main])
+        elif kind == "text" and open_cuts and not node.outside and not text.isspace():
+            for value, words in _features(_leaf(stack).path, text):
+                for branch in open_cuts:
+                    branch[2] += words
+                    branch[3] += words if value not in site else 0
+        elif kind == "close" and open_cuts and open_cuts[-1][0] == len(stack):
+            done.append(open_cuts.pop())
+    for _, number, words, own, main in done + open_cuts:
+        if own <= (0 if main else LEAST_IMPORTANCE * words):
+            drop.add(number)
+    return drop
+
+
+def main_text(page: str | None, cut: Iterable[str] = (), site: Iterable[int] = ()) -> str:
+    """Blocks of the page's article without the branches whose paths are in ``cut`` and whose
+    words are those of the features in ``site``."""
+    page, cut = page or "", frozenset(cut)
+    drop = _branches_to_drop(page, cut, frozenset(site)) if cut else ()
     inside: list[str] = []
     whole: list[str] = []
     held: list[str] = []
-    held_main, has_main, dropped = False, False, 0
+    held_main, has_main, dropped, count = False, False, 0, 0
 
     def flush() -> None:
         if held:
@@ -203,7 +258,7 @@ def main_text(page: str | None, cut: Iterable[str] = ()) -> str:
                     inside.append(block)
             held.clear()
 
-    for kind, stack, text in walk(page or ""):
+    for kind, stack, text in walk(page):
         node = stack[-1]
         if kind == "text":
             if not node.outside and not dropped:
@@ -215,8 +270,9 @@ def main_text(page: str | None, cut: Iterable[str] = ()) -> str:
             if node.tag not in INLINE:
                 flush()
             if kind == "open":
+                count += 1
                 has_main |= node.main
-                if dropped or (node.path in cut and node.tag not in MAIN):
+                if dropped or count in drop:
                     dropped += 1
             elif dropped:
                 dropped -= 1
@@ -224,114 +280,219 @@ def main_text(page: str | None, cut: Iterable[str] = ()) -> str:
     return "\n".join(inside if has_main else whole)
 
 
-def style_nodes(page: str | None) -> dict[str, tuple[int, int, int]]:
-    """path -> (hash of the children's sequence, hash of the text below, number of children)
-    for the containers that could be cut from the page; "" stands for the whole page."""
+def _measured(page: str | None) -> tuple[
+    dict[str, tuple[int, int, int]], dict[str, int], dict[tuple[str, int, bool], int], int
+]:
+    """What a page adds to its site's tree, without what is outside: its containers as in
+    style_nodes, path -> number of its other blocks, (path, feature, in an article) -> words,
+    and the hash of the whole."""
     styles: dict[str, int] = {"": 0}
-    texts: dict[str, int] = {"": 0}
+    numbers: dict[str, int] = {"": 1}
     counts: dict[str, int] = {"": 0}
-    mask = (1 << 64) - 1
+    blocks: dict[str, int] = {}
+    features: dict[tuple[str, int, bool], int] = {}
+    whole, mask = 0, (1 << 64) - 1
     for kind, stack, text in walk(page or ""):
         node = stack[-1]
         if node.outside:
             continue
         if kind == "open":
             parent = stack[-2]
-            label = node.path.rsplit("/", 1)[-1]
-            styles[parent.path] = (
-                styles.get(parent.path, 0) * 1000003 + xxhash.xxh3_64_intdigest(label)
-            ) & mask
+            label = xxhash.xxh3_64_intdigest(
+                node.path[len(parent.path) + 1 :].encode("utf-8", "surrogatepass")
+            )
+            styles[parent.path] = (styles.get(parent.path, 0) * 1000003 + label) & mask
             counts[parent.path] = counts.get(parent.path, 0) + 1
+            whole = (whole * 1000003 + label) & mask
             if node.tag in CONTAINERS:
                 styles.setdefault(node.path, 0)
-                texts.setdefault(node.path, 0)
                 counts.setdefault(node.path, 0)
+                numbers[node.path] = numbers.get(node.path, 0) + 1
+            elif node.tag not in INLINE:
+                blocks[node.path] = blocks.get(node.path, 0) + 1
+        elif kind == "close":
+            whole = (whole * 1000003 + 1) & mask
         elif kind == "text" and not text.isspace():
             number = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
-            for above in stack:
-                if above.path in texts:
-                    texts[above.path] = (texts[above.path] * 1000003 + number) & mask
-    return {
-        path: (styles[path] - (1 << 63), texts[path] - (1 << 63), counts[path]) for path in texts
-    }
+            whole = (whole * 1000003 + number) & mask
+            leaf = _leaf(stack)
+            for value, words in _features(leaf.path, text):
+                key = (leaf.path, value, leaf.main)
+                features[key] = features.get(key, 0) + words
+    nodes = {path: (styles[path] - (1 << 63), n, counts[path]) for path, n in numbers.items()}
+    return nodes, blocks, features, whole - (1 << 63)
+
+
+def style_nodes(page: str | None) -> dict[str, tuple[int, int, int]]:
+    """path -> (hash of the children's sequence, number of such nodes, number of children)
+    for the containers that could be cut from the page; "" stands for the whole page."""
+    return _measured(page)[0]
+
+
+#: Kinds of rows about a page: a container's presentation, another block, a feature, and a
+#: feature in an article.
+STYLE, BLOCK, FEATURE, ARTICLE_FEATURE = range(4)
+#: A page's share in a node's features is counted in parts of this.
+PARTS = 1 << 20
 
 
-def unimportant_branches(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """host, path of branches to cut: containers seen on at least MIN_PAGES pages that vary
-    much less than whole pages of the host do."""
+def _page_rows(page: str | None) -> Iterator[tuple]:
+    """path, kind, value, page (its hash), part, words, children."""
+    nodes, blocks, features, whole = _measured(page)
+    for path, (style, n, children) in nodes.items():
+        yield path, STYLE, style, whole, n, 0, children
+    for path, n in blocks.items():
+        yield path, BLOCK, 0, whole, n, 0, 0
+    totals: dict[str, int] = {}
+    for (path, _, _), words in features.items():
+        totals[path] = totals.get(path, 0) + words
+    for (path, value, main), words in features.items():
+        kind = ARTICLE_FEATURE if main else FEATURE
+        yield path, kind, value, whole, PARTS * words // totals[path], words, 0
+
+
+def site_trees(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """host, path, kind, value, k (pages with it), and sums over pages: k, k log k, part,
+    part log k, words, words log k, children. Values on fewer than LEAST_REPEATS pages are
+    added up as one null value for each node."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string(), pa.string(), pa.int32(), *[pa.int64()] * 5]
+        names = ["host", "path", "kind", "value", "page", "part", "words", "children"]
         for batch in batches:
             out: list[tuple] = []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for path, numbers in style_nodes(page.as_py()).items():
-                    out.append((host, path, *numbers))
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+                out += [(host, *row) for row in _page_rows(page.as_py())]
+            columns = list(zip(*out, strict=True)) or [[]] * 8
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                names=["host", "path", "style", "content", "children"],
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
             )
 
-    nodes = pages.select(host_and_path(F.col(url_col))[0].alias("host"), F.col(html_col)).mapInArrow(
-        rows, "host string, path string, style long, content long, children long"
+    found = pages.select(host_and_path(F.col(url_col))[0].alias("host"), F.col(html_col)).mapInArrow(
+        rows,
+        "host string, path string, kind int, value long, page long, part long, words long, "
+        "children long",
     )
-    # one row per node and combination; both entropies come from it
-    both = settle(
-        nodes.groupBy("host", "path", "style", "content").agg(
-            F.count("*").alias("c"), F.sum("children").alias("children")
-        )
+    k = F.col("k").cast("double")
+    repeated = (F.col("k") >= LEAST_REPEATS) & (F.col("kind") >= FEATURE)
+    return (
+        found.distinct()  # equal pages count once
+        .groupBy("host", "path", "kind", "value")
+        .agg(F.count("*").alias("k"), *[F.sum(c).alias(c) for c in ("part", "words", "children")])
+        .withColumn("k_log", k * F.log(k))
+        .withColumn("part_log", F.col("part") * F.log(k))
+        .withColumn("words_log", F.col("words") * F.log(k))
+        .withColumn("value", F.when(repeated, F.col("value")))
+        .groupBy("host", "path", "kind", "value")
+        .agg(*[
+            F.sum(c).alias(c)
+            for c in ("k", "k_log", "part", "part_log", "words", "words_log", "children")
+        ])
     )
 
-    def entropy(kind: str) -> DataFrame:
-        c, n = F.col("c").cast("double"), F.sum("c").cast("double")
-        seen = both.groupBy("host", "path", kind).agg(
-            F.sum("c").alias("c"), F.sum("children").alias("children")
-        )
-        return seen.groupBy("host", "path").agg(
-            n.alias("pages"),
-            (F.sum("children") / n).alias("children"),
-            F.when(n > 1, (F.log(n) - F.sum(c * F.log(c)) / n) / F.log(n)).otherwise(1.0)
-            .alias(kind),
+
+def _compose(tree: pd.DataFrame) -> pd.DataFrame:
+    """One host's nodes (host, path and sums) -> host, pages, least, path of what may be cut."""
+    host, found = tree["host"].iloc[0], []
+    nodes = {row.path: row for row in tree.itertuples(index=False)}
+    m = int(nodes[""].k)
+    words = tree["words"].sum()
+    least = 0.0
+    if m >= MIN_PAGES and words:
+        log_m = math.log(m)
+        least = LEAST_IMPORTANCE * (1 - tree["words_log"].sum() / words / log_m)
+        below: dict[str, list[float]] = {}  # importances times numbers, numbers, the highest
+        for path in sorted(nodes, key=lambda p: (-p.count("/"), p)):
+            node = nodes[path]
+            total, number, highest = below.pop(path, (0.0, 0.0, 0.0))
+            if node.part:
+                own = max(0.0, 1 - node.part_log / node.part / log_m)
+                total, number = total + own * node.part / PARTS, number + node.part / PARTS
+                highest = max(highest, own)
+            importance = total / number if number else 0.0
+            if node.children:
+                lacking = m - node.k
+                lost = lacking * math.log(lacking) if lacking > 0 else 0.0
+                presentation = max(0.0, 1 - (node.k_log + lost) / m / log_m)
+                damped = DAMPING ** (node.children / node.n)
+                importance = (1 - damped) * presentation + damped * importance
+            highest = max(highest, importance)
+            if path and node.box and node.k >= MIN_PAGES and highest < least:
+                found.append(path)
+            above = path
+            while above:
+                above = above.rpartition("/")[0]
+                if above in nodes:  # inline elements are not nodes
+                    was = below.setdefault(above, [0.0, 0.0, 0.0])
+                    was[0] += importance * node.n
+                    was[1] += node.n
+                    was[2] = max(was[2], highest)
+                    break
+    return pd.DataFrame(
+        {"host": host, "pages": m, "least": least, "path": found},
+        columns=["host", "pages", "least", "path"],
+    ).astype({"host": object, "path": object})  # not Arrow's, which Spark does not take back
+
+
+def site_cuts(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """Per host with branches to cut: host, cut (their paths), site (features to cut there)."""
+    trees = settle(site_trees(pages, url_col, html_col))
+
+    def of(name: str, *kinds: int):
+        return F.coalesce(F.sum(F.when(F.col("kind").isin(*kinds), F.col(name))), F.lit(0))
+
+    features = (FEATURE, ARTICLE_FEATURE)
+    paths = (
+        trees.groupBy("host", "path")
+        .agg(
+            of("k", STYLE).alias("k"), of("k_log", STYLE).alias("k_log"),
+            of("part", STYLE, BLOCK).alias("n"), of("children", STYLE).alias("children"),
+            (F.min("kind") == STYLE).alias("box"),
+            *[of(c, *features).alias(c) for c in ("part", "part_log", "words", "words_log")],
         )
+        .groupBy("host")
+        .applyInPandas(_compose, "host string, pages long, least double, path string")
+    )
+    cuts = settle(
+        paths.groupBy("host", "pages", "least").agg(F.sort_array(F.collect_list("path")).alias("cut"))
+    )
+    importance = 1 - F.log(F.col("k").cast("double")) / F.log(F.col("pages").cast("double"))
+    site = (
+        trees.where((F.col("kind") >= FEATURE) & F.col("value").isNotNull())
+        .select("host", "kind", "value", "k")
+        .join(_broadcast_if_small(cuts.select("host", "pages", "least"), F.lit(24)), "host")
+        .where(importance < F.col("least"))
+        .where((F.col("kind") == FEATURE) | (2 * F.col("k") > F.col("pages")))
+        .groupBy("host")
+        .agg(F.sort_array(F.collect_set("value")).alias("site"))
+    )
+    return cuts.join(site, "host").select("host", "cut", "site")
 
-    content = entropy("content")
-    presentation = entropy("style").select("host", "path", "style")
-    own = F.pow(F.lit(DAMPING), F.col("children"))
-    importance = content.join(presentation, ["host", "path"]).select(
-        "host", "path", "pages",
-        # presentation counts the more, the more children there are; the rest is content
-        ((1 - own) * F.col("style") + own * F.col("content")).alias("presented"),
-        F.col("content"),
-    ).select("host", "path", "pages", F.greatest("presented", "content").alias("importance"))
-    of_page = importance.where("path = ''").select("host", F.col("importance").alias("of_page"))
-    return importance.where((F.col("path") != "") & (F.col("pages") >= MIN_PAGES)).join(
-        of_page, "host"
-    ).where(F.col("importance") < LEAST_IMPORTANCE * F.col("of_page")).select("host", "path")
+
+def _broadcast_if_small(df: DataFrame, row_bytes: Column) -> DataFrame:
+    """``df``, which is settled, to be broadcast if its rows and 64 bytes each are few enough."""
+    size = df.agg(F.sum(row_bytes + F.length("host") + 64)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def extract(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
-    cuts = settle(
-        unimportant_branches(pages, url_col, html_col)
-        .groupBy("host")
-        .agg(F.sort_array(F.collect_list("path")).alias("cut"))
+    cuts = _broadcast_if_small(
+        settle(site_cuts(pages, url_col, html_col)),
+        F.length(F.col("cut").cast("string")) + 8 * F.size("site"),
     )
-    size = cuts.agg(F.sum(F.length(F.col("cut").cast("string")) + 64)).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        cuts = F.broadcast(cuts)
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
         F.col(html_col).alias("html"), host_and_path(F.col(url_col))[0].alias("host"),
-    ).join(cuts, "host", "left").select("page_id", "url", "html", "cut")
+    ).join(cuts, "host", "left").select("page_id", "url", "html", "cut", "site")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                main_text(page.as_py(), cut.as_py() or ())
-                for page, cut in zip(batch.column(2), batch.column(3), strict=True)
+                main_text(page.as_py(), cut.as_py() or (), site.as_py() or ())
+                for page, cut, site in zip(*batch.columns[2:5], strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [
