@@ -113,3 +113,18 @@ def test_real_blocks_stay_where_most_pages_have_the_same(spark):
     for k, text in enumerate(texts_of(spark, [page(k) for k in range(200)])):
         blocks = text.split("\n")
         assert blocks[1:] == ([f"Erratum {words(f'e{k}', 9)}"] if k % 20 == 0 else [])
+
+
+def test_menus_with_some_varying_words_are_cut(spark):
+    pages = [
+        f"<body><div>Home News <b>user{k}</b> Contact Shop Archive</div><p>{words(k)}</p>"
+        f"<div><p>Imprint and privacy<p>Made in Town at 12:{k}</div></body>"
+        for k in range(20)
+    ]
+    assert texts_of(spark, pages) == [words(k) for k in range(20)]
+
+
+def test_every_sibling_is_a_node_of_its_own(spark):
+    same = "".join(f"<div>Site line {i}</div>" for i in range(12))
+    pages = [f"<body>{same}<div>{words(k)}</div></body>" for k in range(20)]
+    assert texts_of(spark, pages) == [words(k) for k in range(20)]

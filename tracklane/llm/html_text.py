@@ -189,7 +189,7 @@ def _element(tag: str, attributes: str, parent: _Node) -> _Node:
     if tag in CONTAINERS and tag not in ("td", "th"):
         number = parent.children[label] = parent.children.get(label, 0) + 1
         if number > 1:
-            label += f"[{min(number, 9)}]"
+            label += f"[{number}]"
     main = parent.main or (tag in MAIN and not outside)
     return _Node(tag, f"{parent.path}/{label}", outside, main)
 
