@@ -85,3 +85,68 @@ def test_query_against_sql(spark):
     query, sql = queries.QUERIES["op2_licenses"], queries.SQL["op2_licenses"]
     ok, text = compare.compare(spark, con, query, sql, "/root/testdata/sf0.001")
     assert ok, text
+
+
+MIT = """Copyright (c) 2018 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED “AS IS”, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD_2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+NAMES = """3. Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+"""
+
+
+def test_only_whole_license_texts_are_licenses(spark):
+    bsd_3 = BSD_2.replace("\nTHIS", f"{NAMES}\nTHIS")
+    texts = {
+        "mit": MIT, "bsd-2-clause": BSD_2, "bsd-3-clause": bsd_3, "bsd-2-clause,mit": MIT + BSD_2,
+        "bsd-opening,mit": MIT + BSD_2[:200],
+    }
+    json = MIT.replace("THE SOFTWARE IS", "The Software shall be used for Good, not Evil.\n\nTHE SOFTWARE IS")
+    changed = [
+        (json, "mit-text"), (MIT.replace("OTHER DEALINGS", "DEALINGS"), "mit-text"),
+        (MIT[: MIT.index("The above")], "mit-text"), (MIT.replace("sublicense", ""), "mit-text"),
+        (BSD_2.replace("2. Redistributions", "2. All copies"), "bsd"),
+        (bsd_3.replace("specific prior", "prior"), "bsd"), (BSD_2[:200], "bsd"),
+    ]
+    rows = [*texts.values(), *[text for text, _ in changed], "no license", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = [(r.text_labels, r.text_score) for r in licenses.scan(df).orderBy("doc_id").collect()]
+    want = [(labels, 1.0) for labels in texts]
+    want += [(f"{label}-opening", 0.25) for _, label in changed]
+    assert got == [*want, ("", 0.0), ("", 0.0)]

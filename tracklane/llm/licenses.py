@@ -7,6 +7,13 @@ optional region may be skipped, a replaceable region reads any words within its
 Sets of states are turned into single states as texts need them. A text has the template's
 label if the automaton accepts words that stand consecutively anywhere in it.
 
+``TEMPLATES`` are notices and the openings of grants, not whole licenses: what they find says
+that a license is named or its text begins. Whole texts are those of ``license_texts``, which
+are matched as well; a label of theirs means that all the mandatory wording is there, in one
+piece. An opening that no whole text begins at has a label ending in ``-opening`` and a lower
+score among them: the text goes on differently, as in the JSON License, or stops. For whole
+texts typographic quotes and dashes do not count.
+
 A template is only run on texts that contain its longest run of mandatory words, from the
 places where one of its possible first words stands.
 
@@ -18,19 +25,21 @@ any length are scanned whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracklane.llm.license_texts import TEXTS
+
 #: Phrases whose places are counted, with their labels.
 PHRASES = {
     "cc-by": "cc by",
     "gpl": "general public license",
     "reserved": "all rights reserved",
 }
-#: Notices and grants as they are usually worded.
+#: Notices and openings of grants as they are usually worded.
 TEMPLATES = {
     "apache-2.0": "licensed under the apache license <<beginOptional>>version<<endOptional>> 2 0",
     "bsd": "redistribution and use in source and binary forms with or without modification "
@@ -47,6 +56,11 @@ TEMPLATES = {
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of "
     "<<var;words=1-12>> to deal in the software without restriction",
 }
+#: Of these, the openings of whole texts, and their score if the rest is another.
+OPENINGS = ("bsd", "mit-text")
+OPENING_SCORE = 0.25
+#: Quotes and dashes that copies have in place of ASCII ones.
+TYPOGRAPHIC = "\u2010\u2011\u2013\u2014\u2018\u2019\u201c\u201d\u2022\u00ab\u00bb\u00b7"
 
 _WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -177,24 +191,53 @@ def scan_text(
     return max(0, words.count(b" ") - 1), spans(phrases), spans(templates)
 
 
+def whole_texts(
+    text: str | None, texts: Mapping[str, list[Template]], openings: Mapping[str, Template]
+) -> tuple[set[str], set[str]]:
+    """Labels of the whole license texts in a text, and of openings that go on differently."""
+    for mark in TYPOGRAPHIC:
+        if text and mark in text:
+            text = text.replace(mark, " ")
+    words = normalised(text)
+    found = [
+        (label, start)
+        for label, wordings in texts.items()
+        for template in wordings
+        for start, _ in template.matches(words)
+    ]
+    begun = {start for _, start in found}
+    return {label for label, _ in found}, {
+        f"{label}-opening"
+        for label, template in openings.items()
+        for start, _ in template.matches(words)
+        if start not in begun
+    }
+
+
 def scan(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     phrases: Mapping[str, str] = PHRASES,
     templates: Mapping[str, str] = TEMPLATES,
+    texts: Mapping[str, Sequence[str]] = TEXTS,
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
-    score (1 if a template is accepted, 0.5 if only a phrase is found, else 0) and spans
-    (label, first word, number of words)."""
+    score (1 if a template is accepted, 0.5 if only a phrase is found, else 0), text_labels
+    (whole license texts, and openings that go on differently), text_score (1 if there is a
+    whole text, OPENING_SCORE if there are only openings, else 0) and spans (label, first
+    word, number of words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {k: Template(v) for k, v in phrases.items()}
         marked = {k: Template(v) for k, v in templates.items()}
+        wholes = {k: [Template(v) for v in wordings] for k, wordings in texts.items()}
+        openings = {k: marked[k] for k in OPENINGS if k in marked}
         for batch in batches:
             rows = []
             for text in batch.column(1):
                 n_words, base, more = scan_text(text.as_py(), known, marked)
+                whole, begun = whole_texts(text.as_py(), wholes, openings)
                 starts = [start for _, start, _ in base]
                 rows.append(
                     {
@@ -205,6 +248,8 @@ def scan(
                         "base_labels": ",".join(sorted({x[0] for x in base})),
                         "labels": ",".join(sorted({x[0] for x in base + more})),
                         "score": 1.0 if more else 0.5 if base else 0.0,
+                        "text_labels": ",".join(sorted(whole | begun)),
+                        "text_score": 1.0 if whole else OPENING_SCORE if begun else 0.0,
                         "spans": [
                             {"label": a, "first_word": b, "n_words": c} for a, b, c in base + more
                         ],
@@ -220,6 +265,7 @@ def scan(
         [
             *[(c, pa.int64()) for c in ("n_words", "n_base", "first_word", "last_word")],
             ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()),
+            ("text_labels", pa.string()), ("text_score", pa.float64()),
             ("spans", pa.list_(span)),
         ]
     )
@@ -228,6 +274,7 @@ def scan(
     ).mapInArrow(
         run,
         "doc_id long, n_words long, n_base long, first_word long, last_word long, "
-        "base_labels string, labels string, score double, "
+        "base_labels string, labels string, score double, text_labels string, "
+        "text_score double, "
         "spans array<struct<label string, first_word long, n_words long>>",
     )

@@ -95,7 +95,10 @@ _LICENSE_SQL = r"""
 
 @_query(_LICENSE_SQL)
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents")).drop("spans")
+    # the SQL has notices and openings only
+    return licenses.scan(_table(spark, sf_dir, "documents")).drop(
+        "text_labels", "text_score", "spans"
+    )
 
 
 @_query()
