@@ -9,7 +9,8 @@ records that refer to the smallest page id.
 The index has two levels. Lines (reversed-host URL key, place, page) are sorted over all
 archives and cut into compressed blocks; a sparse directory keeps the first and last key of
 every block. A look-up searches the directory, then the lines of the blocks it names, and
-only then reads ranges of archives. The directory has at most about ``DIRECTORY_BLOCKS``
+only then gets the members at the places found: a few by a filter on the table, more by
+a join with it. The directory has at most about ``DIRECTORY_BLOCKS``
 entries with keys cut to ``DIRECTORY_KEY`` characters, whatever the archive's size; blocks
 grow instead. It is the only thing that is sent to all tasks.
 
@@ -41,7 +42,7 @@ DIRECTORY_BLOCKS = 100_000
 DIRECTORY_KEY = 256
 #: Copies of a block of index lines, among which its look-ups are dealt.
 BLOCK_COPIES = 4
-#: Look-ups with fewer captures read just those ranges; others read the archives through.
+#: Look-ups with fewer captures filter the table for them; others read the archives through.
 RANGE_READS = 1000
 
 _RECORD = (
@@ -317,8 +318,8 @@ def look_up(index: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFram
 
 
 def fetch(archives: DataFrame, captures: DataFrame) -> DataFrame:
-    """Records at captures. A few are read as ranges: the filter on archive and offset
-    reaches the table's files. Many are read in one pass and joined by place."""
+    """Records at captures. For a few, a filter on archive and offset reaches the table's
+    files. Many are read in one pass and joined by place."""
     places = settle(captures.select("archive", "offset").distinct())
     some = places.limit(RANGE_READS).collect()
     if len(some) < RANGE_READS:
