@@ -89,3 +89,20 @@ def test_source_with_limit_and_without_words(spark):
     got = {r.source: r.target for r in mixing.source_targets(sums).collect()}
     want = targets({"a": 100, "b": 0, "c": 10, None: 1000, "d": 3})
     assert got == pytest.approx(want)
+
+
+def test_words_taken_are_those_of_the_sorted_mix(docs, table, monkeypatch):
+    calls, mix = [], mixing.mix
+    monkeypatch.setattr(mixing, "mix", lambda queue: calls.append(1) or mix(queue))
+    check(docs)
+    check(table("documents"))
+    assert len(calls) == 2
+
+
+def test_the_mix_is_truncated_at_the_budget(spark):
+    rows = [(i, "a" if i % 2 else None, 10.0 if i % 2 else 5.5, 4, i / 10.0, i) for i in range(8)]
+    mixed = spark.createDataFrame(
+        rows, "s long, source string, target double, words long, virtual_finish double, turn long"
+    ).selectExpr("struct(s AS seat) AS carry", "*", "0 AS pass", "turn AS turn_id")
+    found = mixing.served_in_budget(mixed.repartition(3).orderBy("virtual_finish")).collect()
+    assert [r.words for r in sorted(found)] == [4, 4, 4, 3, 0, 0, 0, 0]

@@ -190,9 +190,40 @@ def words_taken(
     source_col: str = "source",
 ) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, taken (its words in the mix)."""
-    rows = settle(measured(docs, F.col(id_col), id_col, text_col, source_col, seed))
-    taken = F.aggregate("passes", F.lit(0).cast("long"), lambda n, x: n + x["words"])
-    return queued(rows, weights, share, max_passes).select(
-        F.col("carry").alias("doc_id"), "source", "size", "source_size", "target",
-        taken.alias("taken"),
+    row = F.struct(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("seat"))
+    rows = settle(measured(docs, row, id_col, text_col, source_col, seed))
+    queue = queued(rows, weights, share, max_passes)
+    served = served_in_budget(mix(queue)).groupBy("seat").agg(F.sum("words").alias("taken"))
+    documents = queue.select("carry.*", "source", "size", "source_size", "target")
+    return documents.join(served, "seat", "left").select(
+        F.col("id").alias("doc_id"), "source", "size", "source_size", "target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+    )
+
+
+def served_in_budget(mixed: DataFrame) -> DataFrame:
+    """seat, words of the sorted mix up to all targets together, its budget. The running sums
+    have two levels: over the ranges of the sort, and inside each range."""
+    ranges = settle(
+        mixed.select(
+            "carry.seat", "source", "target", "words", "virtual_finish", "pass", "turn", "turn_id",
+            F.spark_partition_id().alias("range"),
+        )
+    )
+    totals = ranges.groupBy("range").agg(F.sum("words").alias("n"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    budget = ranges.groupBy("source").agg(F.max("target").alias("target")).agg(
+        F.floor(F.sum("target")).alias("budget")
+    )
+    inside = (
+        Window.partitionBy("range")
+        .orderBy("virtual_finish", F.col("source").asc_nulls_last(), "pass", "turn", "turn_id", "seat")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    upto = F.col("before") + F.col("inside") - F.col("words")
+    return (
+        ranges.withColumn("inside", F.sum("words").over(inside))
+        .join(before.crossJoin(budget), "range")
+        .select("seat", F.least("words", F.greatest(F.lit(0), F.col("budget") - upto)).alias("words"))
     )
