@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklane.llm import (
@@ -13,6 +13,7 @@ from tracklane.llm import (
     mixing,
     packing,
     quality,
+    secret_scan,
     toxicity,
     url_filters,
     warc,
@@ -231,3 +232,66 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+_SECRETS_SQL = r"""
+    WITH texts AS (
+      SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    rules(o, kind, pattern, grp, least) AS (VALUES
+      (0, 'assign', '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1, 12),
+      (1, 'access', '(AKIA[A-Z0-9]+)', 1, 18),
+      (2, 'hex', '([0-9a-f]+)', 1, 16),
+      (3, 'private_key', '(-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)', 1, 1),
+      (4, 'github', '(gh[oprsu]_[A-Za-z0-9]{36,})', 1, 1),
+      (5, 'slack', '(xox[abprs]-[A-Za-z0-9-]{10,})', 1, 1),
+      (6, 'google', '(AIza[A-Za-z0-9_-]{35})', 1, 1),
+      (7, 'stripe', '([rs]k_live_[A-Za-z0-9]{16,})', 1, 1),
+      (8, 'jwt', '(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)', 1, 1),
+      (9, 'bearer', '([Bb][Ee][Aa][Rr][Ee][Rr]\x20+[A-Za-z0-9._~+/-]{20,})', 1, 1),
+      (10, 'login', '([a-z]{2,10}://[^\x00-\x20/:@]{1,256}:[^\x00-\x20/@]{1,256}@)', 1, 1)),
+    matched AS (
+      SELECT r, o, kind, least, regexp_extract_all(text, pattern, 0) AS m,
+             regexp_extract_all(text, pattern, 1) AS told,
+             string_split_regex(text, pattern) AS gaps
+      FROM texts, rules WHERE regexp_matches(text, pattern)),
+    each AS (
+      SELECT r, o, kind, least, unnest(m) AS one, unnest(told) AS part,
+             unnest(gaps[:len(m)]) AS gap, generate_subscripts(m, 1) AS k
+      FROM matched),
+    placed AS (
+      SELECT r, o, kind, length(one) AS n, length(part) >= least AS long_enough,
+             sum(length(gap) + length(one)) OVER (PARTITION BY r, o ORDER BY k) AS stop
+      FROM each),
+    spans AS (
+      SELECT r, o, kind, (stop - n)::BIGINT AS start,
+             kind || ':' || (stop - n)::BIGINT || ':' || stop::BIGINT AS said
+      FROM placed WHERE long_enough),
+    joined AS (
+      SELECT r, count(*) FILTER (WHERE o = 0) AS n_assign,
+             count(*) FILTER (WHERE o = 1) AS n_access,
+             count(*) FILTER (WHERE o = 2) AS n_hex,
+             string_agg(said, ',' ORDER BY start, o) FILTER (WHERE o < 3) AS base,
+             string_agg(said, ',' ORDER BY start, o) AS spans
+      FROM spans GROUP BY r)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+           coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+           coalesce(spans, '') AS spans
+    FROM texts LEFT JOIN joined USING (r)
+    """
+
+
+@_query(_SECRETS_SQL)
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
+    kinds = [rule.kind for rule in secret_scan.BASE]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
