@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracklane.llm import (
     exact_dedup,
+    hard_negatives,
     html_text,
     licenses,
     minhash,
@@ -295,3 +296,39 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
         secret_scan.written(F.col("spans")).alias("spans"),
     )
+
+
+@_query(
+    """
+    WITH usable AS (
+      SELECT row_number() OVER () AS r, vec_id,
+             CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND coalesce(list_bool_and(list_transform(embedding,
+              lambda x: x IS NOT NULL AND isfinite(x))), true)),
+    scores AS (
+      SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS id,
+             a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM usable a JOIN usable b ON a.r <> b.r
+      WHERE a.vec_id % 100 = 0),
+    positives AS (
+      SELECT ar, anchor_id, br AS pr, id AS positive_id, score AS positive_score
+      FROM scores WHERE same
+      QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, id NULLS LAST, br) <= 5)
+    SELECT p.anchor_id, positive_id,
+           row_number() OVER (PARTITION BY p.ar, pr ORDER BY score DESC, id NULLS LAST, br)::INT
+             AS rank,
+           id AS negative_id, positive_score, score AS negative_score
+    FROM positives p JOIN scores n ON p.ar = n.ar AND NOT n.same
+     AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+    """
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.vectors(
+        _table(spark, sf_dir, "embeddings"),
+        relabel=lambda i, label: F.when(i % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
+    return hard_negatives.mine(rows)
