@@ -14,6 +14,7 @@ from tracklane.llm import (
     mixing,
     packing,
     quality,
+    ranked_search,
     secret_scan,
     toxicity,
     url_filters,
@@ -332,3 +333,45 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
         relabel=lambda i, label: F.when(i % 7 == 0, (label + 1) % 10).otherwise(label),
     )
     return hard_negatives.mine(rows)
+
+
+@_query(
+    r"""
+    WITH texts AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+      FROM documents),
+    size AS (
+      SELECT count(*) FILTER (WHERE len(t) > 0) AS docs, sum(len(t))::BIGINT AS terms FROM texts),
+    held AS (
+      SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM texts) GROUP BY ALL),
+    known AS (
+      SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+      FROM held, size GROUP BY term, docs),
+    items AS (
+      SELECT row_number() OVER () AS i, item_id, text
+      FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    asked AS (
+      SELECT DISTINCT i, item_id, unnest(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM items),
+    lengths AS (
+      SELECT r, doc_id, 10 + (90 * len(t) * docs) // terms AS m FROM texts, size WHERE len(t) > 0),
+    scored AS (
+      SELECT i, item_id, doc_id,
+             sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM asked JOIN known USING (term) JOIN held USING (term) JOIN lengths USING (r)
+      GROUP BY i, item_id, r, doc_id)
+    SELECT item_id,
+           row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank,
+           doc_id, score
+    FROM scored WHERE score > 0
+    QUALIFY rank <= 10
+    """
+)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
