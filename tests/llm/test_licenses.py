@@ -58,7 +58,7 @@ def test_whole_texts_and_places(spark):
         (5, "GNU General Public License as published by the Free Software Foundation; version 3", "x"),
         (6, "the GNU General Public License, revision 3", "x"),
         (7, "Copyright (c) 2020 Jane Doe and others. All rights reserved", "x"),
-        (8, "Écc by cc by", "x"),
+        (8, "Écc by cc by", "x"),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, labels string")
     got = {(r.doc_id, r.n_words): r for r in licenses.scan(df).collect()}
