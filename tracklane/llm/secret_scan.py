@@ -113,10 +113,19 @@ def postings(
 def build_index(
     docs: DataFrame, trigrams, path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Write the postings of the trigrams in ranges of (trigram, document); read them back."""
+    """Write the postings of the trigrams below ``path``, in ranges of (trigram, document);
+    read them back."""
     found = postings(docs, trigrams, id_col, text_col)
-    found.repartitionByRange("trigram", *_NAME).sortWithinPartitions("trigram", *_NAME).write.parquet(path)
-    return docs.sparkSession.read.schema(found.schema).parquet(path)
+    spark, found_path = docs.sparkSession, f"{path.rstrip('/')}/found"
+    # written as found first: cutting ranges reads its input twice, and that must not be texts
+    found.write.parquet(found_path)
+    written = spark.read.schema(found.schema).parquet(found_path)
+    (
+        written.repartitionByRange("trigram", *_NAME)
+        .sortWithinPartitions("trigram", *_NAME)
+        .write.parquet(f"{path.rstrip('/')}/sorted")
+    )
+    return spark.read.schema(found.schema).parquet(f"{path.rstrip('/')}/sorted")
 
 
 def _clauses(index: DataFrame, rules) -> tuple[DataFrame | None, list[str]]:
