@@ -142,3 +142,33 @@ def test_common_prefixes_and_uneven_values_are_cut(spark):
             assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
     finally:
         spark.conf.unset(skew.HOT_ROWS_KEY)
+
+
+def test_one_game_with_all_rows(spark, rows, small_groups):
+    """No task holds more than some ranges, and rows are exchanged once for both their runs
+    and the summaries."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    data = [("only", i // 7, i, rng.choice([1, 1, 1, 2])) for i in range(2000)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(5)
+    found = runs(df, ["game"], ["event", "at"], "who")
+    assert rows(found) == expected_runs(data)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = runs(df, ["game"], ["event", "at"], "who").groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in sizes.collect()) < 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_large_and_small_games_in_one_plan(spark, rows, small_groups):
+    data = shaped("mixed", seed=21) + [("one", None, None, None), (None, 1, 1, 1)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(3)
+    found = runs(df, ["game"], ["event", "at"], "who")
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == expected_runs(data)

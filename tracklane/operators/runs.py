@@ -1,11 +1,19 @@
-"""Runs: stretches of consecutive rows with the same value."""
+"""Runs: stretches of consecutive rows with the same value.
+
+One scan for groups of any size. Groups that are too large for one task are cut into ranges
+of the order; runs are numbered and measured within a range, and of each range one summary
+row (first and last value, number of runs, lengths of the two runs at its ends) is enough to
+stitch them: summaries merge from left to right. Ordinary groups are one range and need no
+summary, so these are few. The rows are exchanged once, by group and range, and the summaries
+are made from the same exchange.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklane.operators.skew import asc, chunk_join, has_values, hot_keys, ordered_chunks, split_hot
+from tracklane.operators.skew import asc, fits_one_task, has_values, ordered_chunks
 
 
 def _starts_run(previous: Column, value: Column) -> Column:
@@ -31,13 +39,9 @@ def runs(
     """
     partition, order = list(partition), list(order)
     data = (df if where is None else df.where(where)).where(has_values(partition))
-    hot = hot_keys(data, partition)
-    if hot is None:
+    if fits_one_task(data):
         return _in_one_window(data, partition, order, value, run_id, run_length)
-    rest, large = split_hot(data, partition, hot)
-    return _in_one_window(rest, partition, order, value, run_id, run_length).unionByName(
-        _in_chunks(large, partition, order, value, run_id, run_length)
-    )
+    return _in_ranges(data, partition, order, value, run_id, run_length)
 
 
 def _in_one_window(df, partition, order, value, run_id, run_length) -> DataFrame:
@@ -52,13 +56,9 @@ def _in_one_window(df, partition, order, value, run_id, run_length) -> DataFrame
     )
 
 
-def _in_chunks(df, partition, order, value, run_id, run_length) -> DataFrame:
-    """The same for partitions too large for one task.
-
-    Runs are numbered and measured within chunks of the order. Only the first and
-    the last run of a chunk can continue elsewhere, so one summary row per chunk
-    is enough to stitch them together.
-    """
+def _in_ranges(df, partition, order, value, run_id, run_length) -> DataFrame:
+    """The same where groups may be too large for one task."""
+    columns = df.columns
     df, chunks = ordered_chunks(df, partition, order)
     if not chunks:
         return _in_one_window(df, partition, order, value, run_id, run_length)
@@ -75,10 +75,10 @@ def _in_chunks(df, partition, order, value, run_id, run_length) -> DataFrame:
         .withColumn("_length", F.count("*").over(Window.partitionBy(*by, "_local")))
     )
 
-    # One row per chunk: its first and last value, and the sizes of the runs at
-    # its two ends. "_local" is 0 for the run at the start of the chunk.
+    # One row per range of a group that was cut: its first and last value, and the sizes
+    # of the runs at its two ends. "_local" is 0 for the run at the start of the range.
     tail = F.max(F.struct(*[_sortable(c) for c in order], F.col(value).alias("_value")))
-    summary = local.groupBy(*by).agg(
+    summary = local.where(F.col(chunks[0]) > 0).groupBy(*by).agg(
         F.max(F.when(F.col("_first"), F.col(value))).alias("_head_value"),
         tail["_value"].alias("_tail_value"),
         F.max("_local").alias("_last"),
@@ -98,7 +98,7 @@ def _in_chunks(df, partition, order, value, run_id, run_length) -> DataFrame:
         )
         .select(*by, "_last", "_offset", "_head_length", "_tail_length")
     )
-    # Total length of the runs at the ends: a chunk adds its head to the run it
+    # Total length of the runs at the ends: a range adds its head to the run it
     # opens with and, when it holds several runs, its tail to the last one.
     ends = summary.select(
         *by,
@@ -128,17 +128,16 @@ def _in_chunks(df, partition, order, value, run_id, run_length) -> DataFrame:
             F.max(F.when(~F.col("_end.head"), F.col("_total"))).alias("_tail_total"),
         )
     )
-    joined = chunk_join(local, ends, by).withColumn(run_id, F.col("_local") + F.col("_offset"))
+    # Groups that were not cut have no summary: their numbers and lengths are right as they are.
+    joined = local.join(ends, by, "left").withColumn(
+        run_id, F.col("_local") + F.coalesce("_offset", F.lit(1))
+    )
     length = (
-        F.when(F.col("_local") == 0, F.col("_head_total"))
+        F.when(F.col("_local") == 0, F.coalesce("_head_total", "_length"))
         .when(F.col(run_id) == F.col("_last_run"), F.col("_tail_total"))
         .otherwise(F.col("_length"))
     )
-    return joined.withColumn(run_length, length).select(*_columns(df, chunks), run_id, run_length)
-
-
-def _columns(df, chunks) -> list[str]:
-    return [c for c in df.columns if c not in chunks]
+    return joined.withColumn(run_length, length).select(*columns, run_id, run_length)
 
 
 def _sortable(name: str) -> Column:

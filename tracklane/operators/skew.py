@@ -58,16 +58,24 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(done) if small else done
 
 
+def fits_one_task(df: DataFrame) -> bool:
+    """The frame has no more rows than one key may have."""
+    return df.count() <= _setting(df, HOT_ROWS_KEY, HOT_ROWS)
+
+
 def hot_keys(df: DataFrame, keys) -> DataFrame | None:
     """Keys that hold so many rows that one task should not take them alone.
 
-    Rows are first counted by a small hash of the key, which needs no shuffle worth
-    mentioning and rules out nearly all keys: a hot key makes its bucket large.
-    Only the keys in large buckets are then counted one by one. NULL keys are left
-    out. None means there is no such key. This runs two small jobs over the key
-    columns whenever it is called.
+    A frame with no more rows than a key may have has no such key, and counting rows is
+    all that is done for it; over a stored table that reads no column. In others rows
+    are counted by a small hash of the key, which needs no shuffle worth mentioning and
+    rules out nearly all keys: a hot key makes its bucket large. Only the keys in large
+    buckets are then counted one by one. NULL keys are left out. None means there is no
+    such key.
     """
     least = _setting(df, HOT_ROWS_KEY, HOT_ROWS)
+    if fits_one_task(df):
+        return None
     bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS)).cast("int")
     bucketed = df.where(has_values(keys)).select(*keys, bucket.alias("_bucket"))
     sizes = bucketed.groupBy("_bucket").count().where(F.col("count") > least)
@@ -130,9 +138,10 @@ def _chunk(borders: Column, place: Column) -> Column:
 
 def ordered_chunks(df: DataFrame, keys, order) -> tuple[DataFrame, list[str]]:
     """Add a chunk column that splits every oversized group along ``order``. Keys must
-    not be NULL; the chunk never is.
+    not be NULL; the chunk never is: 0 in groups that are not split, from 1 in others.
 
-    Sorting by (chunk, order) equals sorting by order. Borders are quantiles of the whole
+    Which groups are oversized comes out of the drawn rows, so all groups can be given,
+    large and small. Sorting by (chunk, order) equals sorting by order. Borders are quantiles of the whole
     tuple of order columns, texts in full; rows that tie in it are cut by the other
     columns. Only rows that are equal in every column stay together in any number.
     """
@@ -142,7 +151,7 @@ def ordered_chunks(df: DataFrame, keys, order) -> tuple[DataFrame, list[str]]:
         return df, []
     joined = df.join(F.broadcast(borders) if small else borders, list(keys), "left")
     chunk = F.when(F.col("_borders").isNull(), F.lit(0)).otherwise(
-        _chunk(F.col("_borders"), place)
+        _chunk(F.col("_borders"), place) + 1
     )
     return joined.withColumn("_chunk0", chunk.cast("bigint")).drop("_borders"), ["_chunk0"]
 
