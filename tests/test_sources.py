@@ -384,16 +384,40 @@ def test_a_game_that_becomes_empty_loses_its_rows(spark, rows, tmp_path):
     loads.refresh_derived(first, target, log, "t1")
     asked = first.where("gameid < '03'")
     loads.refresh_derived(first.where("gameid = '01'"), target, log, "t2", games=asked)
-    assert rows(spark.read.parquet(target), "v", "gameid") == [(1, "01"), (3, "03")]
+    stored = readers.read_table(spark, target, schema)
+    assert rows(stored, "v", "gameid") == [(1, "01"), (3, "03")]
+    # a game that has rows again is back; one that is emptied again is gone again
+    loads.refresh_derived(first.where("gameid = '02'"), target, log, "t2", games=asked.where("gameid = '02'"))
+    assert rows(readers.read_table(spark, target, schema), "v") == [(1,), (2,), (3,)]
+    loads.refresh_derived(first.where("false"), target, log, "t2", games=asked.where("gameid = '02'"))
+    assert rows(readers.read_table(spark, target, schema), "v") == [(1,), (3,)]
+    loads.refresh_derived(first.where("gameid = '02'"), target, log, "t2")
+    assert rows(readers.read_table(spark, target, schema), "v") == [(1,), (2,), (3,)]
     done = writers.load_manifest(spark, log, schemas.DERIVED_MANIFEST)
     assert rows(done, "gameid", "lastuploadDTS") == [("01", "t2"), ("02", "t2"), ("03", "t1")]
 
 
-def test_an_unfinished_manifest_does_not_count(spark, rows, tmp_path):
-    path = str(tmp_path / "m")
-    one = spark.createDataFrame([("s", "01", "", 1, "t1")], schemas.DERIVED_MANIFEST)
-    for _ in range(3):
-        writers.save_manifest(one, path)
-    assert len(list((tmp_path / "m").glob("version-*"))) == 2
-    (tmp_path / "m" / "version-000000000009").mkdir()
-    assert rows(writers.load_manifest(spark, path, schemas.DERIVED_MANIFEST), "gameid") == [("01",)]
+def test_manifests_are_logs(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "m"), schemas.DERIVED_MANIFEST
+
+    def add(*some):
+        writers.record(spark.createDataFrame(list(some), schema), path, schema)
+
+    add(("s", "01", "a", 1, "t5"), ("s", "02", "a", 1, "t1"), ("s", "02", "b", 0, "t2"))
+    # the later batch counts, whatever time stamp it names
+    add(("s", "01", "c", 0, "t1"))
+    latest = writers.load_manifest(spark, path, schema)
+    assert rows(latest, "gameid", "params") == [("01", "c"), ("02", "b")]
+    assert latest.columns == [n for n, _ in schemas.columns(schema)]
+    # a batch that was not committed leaves a folder that readers skip
+    (tmp_path / "m" / "_temporary").mkdir()
+    (tmp_path / "m" / "_temporary" / "part-1.parquet").write_text("half")
+    assert rows(writers.load_manifest(spark, path, schema), "gameid") == [("01",), ("02",)]
+    with pytest.raises(ValueError, match="column order"):
+        writers.record(latest.select("gameid", "season"), path, schema)
+
+
+def test_writers_use_no_internals():
+    import inspect
+
+    assert "_jvm" not in inspect.getsource(writers) and "toLocalIterator" not in inspect.getsource(writers)

@@ -57,6 +57,18 @@ def upsert_manifest(manifest: DataFrame, rows: DataFrame, keys, newest: str) ->
     )
 
 
+def latest_rows(log: DataFrame, keys, newest) -> DataFrame:
+    """The latest row of each key: that with the greatest ``newest`` columns, NULL last, and
+    of equal ones the first by the other columns. The first of ``newest`` tells the batch and
+    is dropped."""
+    rest = [c for c in log.columns if c not in newest]
+    window = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() for c in newest], *[F.col(c).asc_nulls_last() for c in rest]
+    )
+    latest = log.withColumn("_n", F.row_number().over(window)).where("_n = 1")
+    return latest.drop("_n", newest[0])
+
+
 def append_manifest(manifest: DataFrame, rows: DataFrame, **constants) -> DataFrame:
     """Add ``rows`` to the manifest with constant columns (flag, time stamp, url,
     parameters) filled in from keyword arguments."""

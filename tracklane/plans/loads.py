@@ -16,7 +16,6 @@ from tracklane.operators.keyed import (
     append_manifest,
     insert_ignore,
     pending,
-    upsert_manifest,
 )
 from tracklane.operators.skew import bounded_broadcast, hot_keys
 from tracklane.plans.closest import closest_to_ball, in_games
@@ -33,8 +32,8 @@ from tracklane.sources.readers import (
 )
 from tracklane.sources.writers import (
     load_manifest,
-    remove_partitions,
-    save_manifest,
+    mark_emptied,
+    record,
     write_table,
 )
 
@@ -75,10 +74,7 @@ def load_tracking(
         *[flag.alias(f"{t}_uploadedFLG") for t in _TABLES],
         F.lit(loaded_at).alias("lastuploadDTS"),
     )
-    manifest = load_manifest(spark, manifest_path, schemas.TRACKING_MANIFEST)
-    save_manifest(
-        upsert_manifest(manifest, rows, ["input_filename"], "lastuploadDTS"), manifest_path
-    )
+    record(rows, manifest_path, schemas.TRACKING_MANIFEST)
     return heads.where(~fit).select("input_filename", CORRUPT)
 
 
@@ -119,13 +115,10 @@ def load_gamelog(
         F.lit(season).alias("season"),
         *[F.lit(None).cast("string").alias(c) for c in ("game_date", "game_id", "team1", "team2")],
     )
-    manifest = load_manifest(spark, manifest_path, schemas.GAME_LOG_MANIFEST)
-    manifest = append_manifest(
-        manifest, gamelog_manifest_rows(log), gamelog_uploadedFLG=1, **constants
-    )
-    save_manifest(
-        append_manifest(manifest, failed, gamelog_uploadedFLG=0, **constants), manifest_path
-    )
+    rows = spark.createDataFrame([], schemas.GAME_LOG_MANIFEST)
+    rows = append_manifest(rows, gamelog_manifest_rows(log), gamelog_uploadedFLG=1, **constants)
+    rows = append_manifest(rows, failed, gamelog_uploadedFLG=0, **constants)
+    record(rows, manifest_path, schemas.GAME_LOG_MANIFEST)
     return broken
 
 
@@ -207,8 +200,7 @@ def load_stats(
         F.lit(base_url).alias("base_url"),
         F.lit(params).alias("params"),
     )
-    manifest = load_manifest(spark, manifest_path, schemas.STATS_MANIFEST)
-    save_manifest(upsert_manifest(manifest, done, ["game_id"], "lastuploadDTS"), manifest_path)
+    record(done, manifest_path, schemas.STATS_MANIFEST)
     return _broken(docs)
 
 
@@ -245,15 +237,16 @@ def refresh_derived(
     the games it holds and record them. Existing data of those games is replaced.
 
     ``games`` (season, gameid) names the games that were asked for; it may come straight
-    from a partitioned base table. A game of these without rows loses its old partition
-    and is recorded like the others.
+    from a partitioned base table. A game of these without rows is recorded like the
+    others, and ``read_table`` leaves out the rows that it had before.
     """
-    spark = derived.sparkSession
     write_table(derived, target, rebalance=rebalance)
-    made = derived.select("season", "gameid").distinct()
-    if games is not None:
-        made, asked = settle(made), settle(games.select("season", "gameid").distinct())
-        remove_partitions(target, asked.join(made, ["season", "gameid"], "left_anti"))
+    made = settle(derived.select("season", "gameid").distinct())
+    if games is None:
+        mark_emptied(target, made, made)
+    else:
+        asked = settle(games.select("season", "gameid").distinct())
+        mark_emptied(target, asked, made)
         made = asked
     rows = made.select(
         "season",
@@ -262,8 +255,7 @@ def refresh_derived(
         F.lit(1).alias("uploadedFLG"),
         F.lit(loaded_at).alias("lastuploadDTS"),
     )
-    manifest = load_manifest(spark, manifest_path, schemas.DERIVED_MANIFEST)
-    save_manifest(upsert_manifest(manifest, rows, ["gameid"], "lastuploadDTS"), manifest_path)
+    record(rows, manifest_path, schemas.DERIVED_MANIFEST)
 
 
 def only_games(rows: DataFrame, games: DataFrame, list_up_to: int = 1000) -> DataFrame:

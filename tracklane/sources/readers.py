@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklane.functions import path_value
+from tracklane.operators.keyed import latest_rows
 from tracklane.sources import schemas
 
 CORRUPT = "_corrupt_record"
+GAME_PARTITION = ("season", "gameid")
+#: Rows of a log tell when they were added; Spark's readers of a table skip this folder of it.
+APPENDED, EMPTIED = "_appended", "_emptied"
+_EMPTIED_LOG = f"season string, gameid string, emptied boolean, {APPENDED} timestamp"
 
 
 def read_tracking(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
@@ -71,10 +77,32 @@ def read_event_codes(spark: SparkSession, path) -> DataFrame:
     return event_elements(reader.load(path))
 
 
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All rows of an append-only log; none of the given schema if nothing was ever added."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def emptied_games(spark: SparkSession, path) -> DataFrame:
+    """Games (season, gameid) of a table that had rows once and have none now."""
+    log = read_log(spark, f"{str(path).rstrip('/')}/{EMPTIED}", _EMPTIED_LOG)
+    return latest_rows(log, GAME_PARTITION, [APPENDED]).where("emptied").select(*GAME_PARTITION)
+
+
 def read_table(spark: SparkSession, path, schema: str) -> DataFrame:
-    """A partitioned Parquet table. The schema also fixes the types of the
-    partition columns, so zero-padded game ids stay text."""
-    return spark.read.schema(schema).parquet(path)
+    """A partitioned Parquet table without the games that have become empty. The schema
+    also fixes the types of the partition columns, so zero-padded game ids stay text."""
+    rows = spark.read.schema(schema).parquet(path)
+    if not set(GAME_PARTITION) <= set(rows.columns):
+        return rows
+    gone = emptied_games(spark, path)
+    if not gone.inputFiles():
+        return rows
+    return rows.join(gone, list(GAME_PARTITION), "left_anti").select(*rows.columns)
 
 
 def read_csv_table(spark: SparkSession, path, schema: str) -> DataFrame:

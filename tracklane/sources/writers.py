@@ -1,15 +1,29 @@
-"""Writers for partitioned Parquet tables, CSV and manifests."""
+"""Writers for partitioned Parquet tables, CSV and logs.
+
+The state of tables is kept in logs that are only appended to. A manifest is the latest row
+of each key of its log; games of a table that have become empty are listed in a log inside
+the table's folder, and readers leave them out. So no file is ever deleted or replaced but by
+Spark's own overwriting of partitions, and work per game is that of a join.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklane.operators.keyed import check_columns
-from tracklane.sources.schemas import columns
+from tracklane.operators.keyed import check_columns, latest_rows
+from tracklane.sources.readers import APPENDED, EMPTIED, GAME_PARTITION, emptied_games, read_log
+from tracklane.sources.schemas import (
+    DERIVED_MANIFEST,
+    STATS_MANIFEST,
+    TRACKING_MANIFEST,
+    columns,
+)
 
-GAME_PARTITION = ("season", "gameid")
+#: What a manifest has one row for; game log manifests keep every row.
+MANIFEST_KEYS = {
+    TRACKING_MANIFEST: "input_filename", STATS_MANIFEST: "game_id", DERIVED_MANIFEST: "gameid",
+}
 
 
 def _placed(df: DataFrame, partition_by, sort_by) -> DataFrame:
@@ -59,59 +73,38 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
-def _folder(spark: SparkSession, path: str):
-    """(file system, path) of Hadoop for a folder in any store."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def remove_partitions(path: str, games: DataFrame) -> None:
-    """Delete the partitions of the given (season, gameid) rows, as far as they exist."""
-    spark = games.sparkSession
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in games.select(*GAME_PARTITION).toLocalIterator():
-        parts = [f"{name}={escape(row[name])}" for name in GAME_PARTITION if row[name] is not None]
-        if len(parts) == len(GAME_PARTITION):
-            files, place = _folder(spark, "/".join([path.rstrip("/"), *parts]))
-            files.delete(place, True)
-
-
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Complete versions of a manifest, oldest first."""
-    files, place = _folder(spark, path)
-    if not files.exists(place):
-        return []
-    names = [s.getPath().getName() for s in files.listStatus(place)]
-    done = "{}/{}/_SUCCESS".format
-    return sorted(
-        n
-        for n in names
-        if n.startswith("version-") and files.exists(_folder(spark, done(path.rstrip("/"), n))[1])
-    )
+def append_log(rows: DataFrame, path: str) -> None:
+    """Add rows to a log: a Parquet table that is only ever appended to, with the time at
+    which each batch was added. A batch that was not committed leaves nothing to read."""
+    stamped = rows.withColumn(APPENDED, F.current_timestamp())
+    stamped.write.mode("append").option("compression", "snappy").parquet(path)
+
+
+def record(rows: DataFrame, path: str, schema: str) -> None:
+    """Add rows to the log of a manifest."""
+    names = [n for n, _ in columns(schema)]
+    log = read_log(rows.sparkSession, path, schema)
+    check_columns(log.drop(APPENDED), names)
+    append_log(check_columns(rows, names), path)
+
+
+def mark_emptied(path: str, asked: DataFrame, made: DataFrame) -> None:
+    """Record which of the games (season, gameid) that were asked for have no rows any more;
+    ``read_table`` leaves them out. Games that have rows again lose their mark."""
+    keys = list(GAME_PARTITION)
+    marks = emptied_games(asked.sparkSession, path)
+    empty = asked.join(made, keys, "left_anti").select(*keys, F.lit(True).alias("emptied"))
+    again = made.join(marks, keys, "left_semi").select(*keys, F.lit(False).alias("emptied"))
+    append_log(empty.unionByName(again), f"{path.rstrip('/')}/{EMPTIED}")
 
 
 def load_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The newest complete version of the manifest at ``path``, or a plain Parquet table
-    there, or an empty manifest. Fails when the columns differ."""
+    """The manifest that the log at ``path`` amounts to: the latest row of each key, or all
+    rows where a manifest has no key; empty if there is no log. Fails when the columns differ."""
     names = [n for n, _ in columns(schema)]
-    versions = _versions(spark, path)
-    if versions:
-        path = f"{path.rstrip('/')}/{versions[-1]}"
-    try:
-        return check_columns(spark.read.parquet(path), names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def save_manifest(manifest: DataFrame, path: str) -> None:
-    """Write a new version of the manifest beside the old ones. A crash leaves the last
-    complete version in force; those before it are removed once the new one is there."""
-    spark, top = manifest.sparkSession, path.rstrip("/")
-    old = _versions(spark, path)
-    number = int(old[-1].removeprefix("version-")) + 1 if old else 1
-    manifest.write.mode("overwrite").parquet(f"{top}/version-{number:012d}")
-    for name in old[:-1]:
-        files, place = _folder(spark, f"{top}/{name}")
-        files.delete(place, True)
+    log = read_log(spark, path, schema)
+    if APPENDED not in log.columns:
+        log = log.withColumn(APPENDED, F.lit(None).cast("timestamp"))
+    check_columns(log.drop(APPENDED), names)
+    key = MANIFEST_KEYS.get(schema)
+    return latest_rows(log, [key], [APPENDED, "lastuploadDTS"]) if key else log.drop(APPENDED)
