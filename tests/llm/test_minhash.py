@@ -156,3 +156,22 @@ def test_drop_near_copies(docs, no_docs):
     assert minhash.drop_near_copies(no_docs).count() == 0
     assert minhash.near_classes(no_docs).count() == 0
     assert kept.where(F.col("text").isNull()).count() == 1
+
+
+@pytest.mark.parametrize("cell", [4, 25])
+def test_large_families_are_dealt_to_cells(spark, monkeypatch, cell):
+    monkeypatch.setattr(minhash, "CELL", cell)
+    df = family(spark)
+    rows = [tuple(r) for r in df.collect()]
+    assert found(df, 4) == brute(rows, 4)
+
+
+def test_hubs_are_not_brought_to_one_task(spark):
+    """Neighbours of hubs are joined by broadcast, and the components are the same."""
+    edges = [(0, k) for k in range(1, 900)] + [(5000, k) for k in range(3000, 3600)]
+    edges += [(5000, 7000), (7000, 7001)] + [(9000 + k, 9001 + k) for k in range(50)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    got = {r.node: r.root for r in components(df).collect()}
+    want = dict.fromkeys(range(900), 0) | dict.fromkeys(range(3000, 3600), 3000)
+    want |= dict.fromkeys((5000, 7000, 7001), 3000) | dict.fromkeys(range(9000, 9051), 9000)
+    assert got == want

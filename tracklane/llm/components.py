@@ -7,6 +7,30 @@ from pyspark.sql import functions as F
 
 from tracklane.session import settle
 
+#: Rows of a settled frame that one task writes; smaller frames need fewer tasks and files.
+ROWS_PER_TASK = 100_000
+#: Nodes whose neighbours are not brought to one task: the ones with the most, so many at most.
+HUBS = 4096
+
+
+def settle_small(df: DataFrame, most_rows: int) -> DataFrame:
+    """``df`` settled by as many tasks as its rows need, of which there are ``most_rows`` at
+    most. The rounds of an iteration leave a file for every task, so few rows should not
+    keep the number of partitions that large tables have."""
+    return settle(df.coalesce(max(1, -(-most_rows // ROWS_PER_TASK))))
+
+
+def _with_least(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
+    """``edges`` (a, b; ``rows`` of them) with m of their a in ``least`` (a, m, degree).
+
+    A node with very many neighbours would bring them all to one task. Such nodes are few,
+    as their degrees add up to the edges: they are broadcast, the others join by shuffle.
+    """
+    many = F.col("degree") > max(200, rows // HUBS)
+    hubs = F.broadcast(least.where(many).select("a", "m"))
+    others = edges.join(hubs, "a", "left_anti").join(least.where(~many).select("a", "m"), "a")
+    return edges.join(hubs, "a").unionByName(others)
+
 
 def _state(edges: DataFrame) -> tuple:
     return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
@@ -17,8 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large stars (link larger neighbours to the smallest one) and small stars
     (link smaller neighbours and the node itself to the smallest one) until the edges are
-    stars around the roots. Both are a grouped minimum and a join, so a node with very
-    many neighbours is pre-aggregated in the map tasks and split by the join.
+    stars around the roots. Both are a grouped minimum, made in the map tasks as far as
+    possible, and a join that keeps the neighbours of hubs where they are.
     """
     current = settle(
         edges.where("a != b")
@@ -26,16 +50,20 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct()
     )
     before = _state(current)
+    if before[0] <= ROWS_PER_TASK:
+        current = settle_small(current, before[0])
     while before[0]:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(least, "a")
+        least = both.groupBy("a").agg(
+            F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("degree")
+        )
+        large = _with_least(both.where("b > a"), least, 2 * before[0])
         large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = settle(large.where("a != b").distinct())
-        lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lower, "a")
+        large = settle_small(large.where("a != b").distinct(), before[0])
+        lower = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
+        small = _with_least(large, lower, before[0])
         small = small.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        current = settle(small.where("a != b").distinct())
+        current = settle_small(small.where("a != b").distinct(), 2 * before[0])
         after = _state(current)
         if after == before:
             break

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklane.llm.components import components
+from tracklane.llm.components import components, settle_small
 from tracklane.llm.shingles import mixed, overlap, shingle_set
 from tracklane.session import settle
 
@@ -47,6 +47,8 @@ PROBES = 4096
 SKETCH_BITS, SKETCH_PROBES = 1024, 2048
 #: Sketches that one step may compare, for each document that has candidates.
 COMPARED_PER_DOCUMENT = 4096
+#: Members of a family on either side of one task's comparisons.
+CELL = 2048
 #: Most bytes of the list of documents with candidates that is sent to every task.
 BROADCAST_BYTES = 8 << 20
 
@@ -242,9 +244,10 @@ def _of_members(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.where(fits).select("a", "b")
 
 
-def _in_several_groups(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def _in_several_groups(nodes: DataFrame, links: DataFrame, most: int) -> DataFrame:
     """Nodes (node, family) with their group, of the families that have more than one; and
-    ``others``, the number of nodes of the family that are in other groups."""
+    ``others``, the number of nodes of the family that are in other groups; and ``cells``, the
+    parts that a large family is dealt into. There are ``most`` nodes at most."""
     roots = components(links)
     found = nodes.join(roots, "node", "left").select(
         "node", "family", F.coalesce("root", "node").alias("root")
@@ -254,20 +257,29 @@ def _in_several_groups(nodes: DataFrame, links: DataFrame) -> DataFrame:
         F.count("*").alias("groups"), F.sum("own").alias("all")
     ).where("groups > 1")
     groups = groups.join(families, "family").select(
-        "family", "root", (F.col("all") - F.col("own")).alias("others")
+        "family", "root", (F.col("all") - F.col("own")).alias("others"),
+        F.ceil(F.col("all") / CELL).cast("int").alias("cells"),
     )
-    return settle(found.join(groups, ["family", "root"]))
+    return settle_small(found.join(groups, ["family", "root"]), most)
 
 
 def _between_groups(nodes: DataFrame, some: DataFrame, percent: int, both_ways: bool):
-    """Links (a, b) of one family, ``a`` a node and ``b`` one of ``some``, between groups."""
-    x = nodes.select("family", *[F.col(c).alias(f"x_{c}") for c in _COMPARED])
-    y = some.select("family", *[F.col(c).alias(f"y_{c}") for c in _COMPARED])
+    """Links (a, b) of one family, ``a`` a node and ``b`` one of ``some``, between groups.
+
+    A large family is dealt to a grid: a node on the left goes to all cells of its row, one on
+    the right to all of its column, so that every pair meets in one cell.
+    """
+    own = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
+    x = nodes.select("family", *[F.col(c).alias(f"x_{c}") for c in _COMPARED],
+                     own.alias("row"), every.alias("column"))
+    y = some.select("family", *[F.col(c).alias(f"y_{c}") for c in _COMPARED],
+                    every.alias("row"), own.alias("column"))
     order = F.lit(True) if both_ways else F.col("x_node") < F.col("y_node")
     sizes = F.size("x_shingles"), F.size("y_shingles")
     both = F.size(F.array_intersect("x_shingles", "y_shingles"))
     return (
-        x.join(y, "family")
+        x.join(y, ["family", "row", "column"])
         .where(order & (F.col("x_root") != F.col("y_root")))
         .where(_may_link(sizes, ("x_sketch", "y_sketch"), percent))
         .where(100 * both >= percent * (sizes[0] + sizes[1] - both))
@@ -281,14 +293,16 @@ def links_of(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ``members`` has bucket, node and n_members of buckets with two or more; ``sets`` node,
     shingles and sketch of their documents.
     """
-    candidates = settle(_stars(members))
+    most = members.count()
+    candidates = settle_small(_stars(members), most)
     families = components(candidates).select("node", F.col("root").alias("family"))
-    likely = settle(_of_members(candidates, sets, percent))
+    likely = settle_small(_of_members(candidates, sets, percent), most)
     links = settle(_confirmed(likely, sets, percent))
-    limit = COMPARED_PER_DOCUMENT * sets.count()
+    all_sets = sets.count()
+    limit = COMPARED_PER_DOCUMENT * all_sets
     nodes = families
     for step in range(1, 1 << 20):
-        nodes = _in_several_groups(nodes, links)
+        nodes = _in_several_groups(nodes, links, all_sets)
         # every pair is counted from both sides
         pairs = (nodes.agg(F.sum("others")).first()[0] or 0) // 2
         if not pairs:
