@@ -166,8 +166,11 @@ def test_large_families_are_dealt_to_cells(spark, monkeypatch, cell):
     assert found(df, 4) == brute(rows, 4)
 
 
-def test_hubs_are_not_brought_to_one_task(spark):
-    """Neighbours of hubs are joined by broadcast, and the components are the same."""
+@pytest.mark.parametrize("rows_per_task", [100, 100_000])
+def test_hubs_are_not_brought_to_one_task(spark, monkeypatch, rows_per_task):
+    """Neighbours of hubs are joined by broadcast, and the components are the same, as in
+    the single task that is enough for few edges."""
+    monkeypatch.setattr("tracklane.llm.components.ROWS_PER_TASK", rows_per_task)
     edges = [(0, k) for k in range(1, 900)] + [(5000, k) for k in range(3000, 3600)]
     edges += [(5000, 7000), (7000, 7001)] + [(9000 + k, 9001 + k) for k in range(50)]
     df = spark.createDataFrame(edges, "a long, b long").repartition(7)

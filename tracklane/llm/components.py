@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklane.session import settle
@@ -20,15 +20,22 @@ def settle_small(df: DataFrame, most_rows: int) -> DataFrame:
     return settle(df.coalesce(max(1, -(-most_rows // ROWS_PER_TASK))))
 
 
-def _with_least(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
-    """``edges`` (a, b; ``rows`` of them) with m of their a in ``least`` (a, m, degree).
+def _with_least(edges: DataFrame, rows: int, itself: bool) -> DataFrame:
+    """``edges`` (a, b; ``rows`` of them at most) with m, the least b of their a; with
+    ``itself`` also a is looked at.
 
     A node with very many neighbours would bring them all to one task. Such nodes are few,
     as their degrees add up to the edges: they are broadcast, the others join by shuffle.
+    So few edges that they are one task's work in any case need no exchange at all.
     """
-    many = F.col("degree") > max(200, rows // HUBS)
-    hubs = F.broadcast(least.where(many).select("a", "m"))
-    others = edges.join(hubs, "a", "left_anti").join(least.where(~many).select("a", "m"), "a")
+    if rows <= 2 * ROWS_PER_TASK:
+        least = F.min("b").over(Window.partitionBy("a"))
+        return edges.withColumn("m", F.least(least, "a") if itself else least)
+    least = F.least(F.min("b"), F.first("a")) if itself else F.min("b")
+    known = edges.groupBy("a").agg(least.alias("m"), F.count("*").alias("degree"))
+    many = F.col("degree") > rows // HUBS
+    hubs = F.broadcast(known.where(many).select("a", "m"))
+    others = edges.join(hubs, "a", "left_anti").join(known.where(~many).select("a", "m"), "a")
     return edges.join(hubs, "a").unionByName(others)
 
 
@@ -50,18 +57,18 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct()
     )
     before = _state(current)
-    if before[0] <= ROWS_PER_TASK:
-        current = settle_small(current, before[0])
     while before[0]:
-        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(
-            F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("degree")
-        )
-        large = _with_least(both.where("b > a"), least, 2 * before[0])
+        if before[0] <= ROWS_PER_TASK:
+            # one partition needs no exchange for what follows, and edges only get fewer
+            current = current.coalesce(1)
+        ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = current.select(F.inline(ways))
+        large = _with_least(both, 2 * before[0], itself=True).where("b > a")
         large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = settle_small(large.where("a != b").distinct(), before[0])
-        lower = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
-        small = _with_least(large, lower, before[0])
+        if before[0] <= ROWS_PER_TASK:
+            large = large.coalesce(1)
+        small = _with_least(large, before[0], itself=False)
         small = small.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         current = settle_small(small.where("a != b").distinct(), 2 * before[0])
         after = _state(current)
