@@ -7,12 +7,13 @@ tournament tree of the room left in every sequence finds in logarithmic time. To
 leave the task that made them; only lengths are shuffled. A group has about ``GROUP_DOCS``
 rests, so that the few badly filled sequences at its end weigh little.
 
-The token ids are those of the ``tokenizers`` library for the given vocabulary file,
-special tokens taken as ordinary text. Where the same vocabulary lies beside it as ranks
-(same name, ``.tiktoken``), texts whose characters are all below U+0250 are tokenised by
-``tiktoken``, which is several times faster; for these characters both split alike, and
-without two white-space characters in a row the split needs no look-ahead. All other
-texts go to ``tokenizers``.
+The token ids are those of the ``tokenizers`` library for the given vocabulary file, called
+with ``add_special_tokens=False``: a special token that a text spells is its one id. Where
+the same vocabulary lies beside it as ranks (same name, ``.tiktoken``), texts whose characters
+are all below U+0250 are tokenised by ``tiktoken``, which is several times faster; for these
+characters both split alike, and without two white-space characters in a row the split
+needs no look-ahead. All other texts, and those that spell an added token, go to
+``tokenizers``.
 
 Defined cases: a null text is empty and gives just its end token; rows that repeat are
 packed once each; null ids are ids like any other; other columns play no part; an empty
@@ -66,7 +67,7 @@ def tokenizer(vocabulary: str) -> Callable[[str], list[int]]:
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     exact = Tokenizer.from_file(vocabulary)
-    exact.encode_special_tokens = True
+    added = [t.content for t in exact.get_added_tokens_decoder().values()]
     ranks_file = os.path.splitext(vocabulary)[0] + ".tiktoken"
     if not os.path.exists(ranks_file):
         return lambda text: exact.encode(text, add_special_tokens=False).ids
@@ -79,7 +80,7 @@ def tokenizer(vocabulary: str) -> Callable[[str], list[int]]:
     )
 
     def encode(text: str) -> list[int]:
-        if _SLOW_TEXT.search(text):
+        if _SLOW_TEXT.search(text) or any(t in text for t in added):
             return exact.encode(text, add_special_tokens=False).ids
         if len(text) <= BLOCK:
             return fast.encode_ordinary(text)
