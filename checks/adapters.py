@@ -20,7 +20,7 @@ _POSITION = """
     l_orderkey AS eventid,
     CAST(0 AS BIGINT) AS moment_num,
     CAST(l_orderkey AS STRING) AS timestamp_dts,
-    1451695252003 + l_orderkey * 40 AS timestamp_utc,
+    1446300000007 + l_orderkey * 40 AS timestamp_utc,
     l_orderkey % 5 + 1 AS period,
     CAST((l_orderkey * 7) % 721 AS DOUBLE) AS periodclock,
     CASE WHEN l_orderkey % 6 > 0 THEN CAST(l_orderkey % 25 AS DOUBLE) END AS shotclock,

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.adapters import GAME_LOG, PLAY_BY_PLAY_12H, adapt, table
+from tracklane.session import scratch_path
 from tracklane.sources import readers, schemas
 
 
@@ -26,8 +27,19 @@ def _parsed(rows: DataFrame, document: Column) -> DataFrame:
     return rows.select(F.explode_outer(F.array(document)).alias("d")).select("d.*")
 
 
-def tracking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A game per order: two events with zero to two moments of two entities."""
+def _landed(rows: DataFrame, text: Column, broken: Column, name: str) -> str:
+    """Documents written as lines of text files, the ``broken`` ones cut off in the middle.
+    Returns the folder."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
+    cut = F.substring(text, F.lit(1), (F.length(text) / 2).cast("int"))
+    spread = rows.repartition(*rows.columns)
+    spread.select(F.when(broken, cut).otherwise(text).alias("value")).write.text(path)
+    return path
+
+
+def _tracking_text(gameid: Column) -> Column:
+    """A document per order: two events with zero to two moments of two entities."""
     key, price = F.col("o_orderkey"), F.col("o_totalprice")
 
     def team(number: int) -> Column:
@@ -44,7 +56,7 @@ def tracking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     def moment(event: int, number: int) -> Column:
         shot = F.when(key % 3 > 0, key % 25 + number)
         return _json(
-            "[", key % 4 + 1, ",", key * 40 + (1451695252003 + number), ",", key % 721, ".5,", shot,
+            "[", key % 4 + 1, ",", key * 40 + (1446300000007 + number), ",", key % 721, ".5,", shot,
             ",null,[[-1,-1,", price / 1000, ",", F.lit(event + 0.5), ",1.25],[", key * 2, ",",
             key * 20, ",", price / 2000, ",", F.lit(number), ",0]]]",
         )
@@ -58,25 +70,41 @@ def tracking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ',"moments":[', moments, "]}",
         )
 
-    text = _json(
+    return _json(
         '{"gamedate":"', F.col("o_orderdate").cast("date"), '","gameid":"',
-        F.lpad(key.cast("string"), 10, "0"), '","events":[', event(0), ",", event(1), "]}",
+        F.lpad(gameid.cast("string"), 10, "0"), '","events":[', event(0), ",", event(1), "]}",
     )
+
+
+def tracking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A game per order."""
+    text = _tracking_text(F.col("o_orderkey"))
     return _parsed(
         table(spark, sf_dir, "orders"), F.from_json(text, schemas.TRACKING_DOCUMENT)
     )
 
 
-def result_set_documents(rows: DataFrame, name: str, extra: str = "") -> DataFrame:
+def tracking_files(spark: SparkSession, sf_dir: str) -> str:
+    """A document per order in files, of 50 games; every seventh order's is cut off."""
+    text = _tracking_text(F.col("o_orderkey") % 50)
+    rows = table(spark, sf_dir, "orders")
+    return _landed(rows, text, F.col("o_orderkey") % 7 == 0, "tracking")
+
+
+def _result_set_text(rows: DataFrame, name: str, extra: str) -> Column:
     """A response per row of ``rows``: one set with the row under upper-case
     headers, and the JSON of further sets in ``extra``."""
     headers = ",".join(f'"{c.upper()}"' for c in rows.columns)
     values = F.to_json(F.array(*[F.col(c).cast("string") for c in rows.columns]))
-    text = F.concat(
+    return F.concat(
         F.lit(f'{{"resultSets":[{{"name":"{name}","headers":[{headers}],"rowSet":['),
         values,
         F.lit(f"]}}{extra}]}}"),
     )
+
+
+def result_set_documents(rows: DataFrame, name: str, extra: str = "") -> DataFrame:
+    text = _result_set_text(rows, name, extra)
     return _parsed(rows, F.from_json(text, schemas.RESULT_SET_DOCUMENT))
 
 
@@ -88,6 +116,15 @@ def play_by_play_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_set_documents(rows.withColumnRenamed("gameid", "game_id"), "PlayByPlay", VIDEO_SET)
 
 
+def play_by_play_files(spark: SparkSession, sf_dir: str) -> str:
+    """A response per event in files, of 40 games; every eleventh event's is cut off."""
+    rows = adapt(spark, sf_dir, PLAY_BY_PLAY_12H).drop("season")
+    game = F.lpad((F.col("gameid").cast("bigint") % 40).cast("string"), 10, "0")
+    rows = rows.withColumn("gameid", game).withColumnRenamed("gameid", "game_id")
+    text = _result_set_text(rows, "PlayByPlay", VIDEO_SET)
+    return _landed(rows, text, F.col("eventnum") % 11 == 0, "responses")
+
+
 def box_score_documents(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
     minutes = F.concat(
@@ -114,17 +151,26 @@ def gamelog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_set_documents(rows.withColumn("pts", F.col("team_id") % 120), "LeagueGameLog")
 
 
-def event_code_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_code_text() -> Column:
     """An <event> element per part, with no or two details."""
     key = F.col("p_partkey").cast("string")
     detail = F.concat(
         F.lit('<detail id="1" text="'), F.col("p_type"), F.lit('"/><detail id="'),
         (F.col("p_size") + 1).cast("string"), F.lit('" text="'), F.col("p_brand"), F.lit('"/>'),
     )
-    text = F.concat(
+    return F.concat(
         F.lit('<event id="'), key, F.lit('" text="'), F.col("p_name"), F.lit('">'),
         F.when(F.col("p_partkey") % 3 > 0, detail).otherwise(F.lit("")), F.lit("</event>"),
     )
+
+
+def event_code_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = _event_code_text()
     return readers.event_elements(
         _parsed(table(spark, sf_dir, "part"), F.from_xml(text, readers.EVENT_ELEMENT))
     )
+
+
+def event_code_files(spark: SparkSession, sf_dir: str) -> str:
+    rows = table(spark, sf_dir, "part")
+    return _landed(rows, _event_code_text(), F.lit(False), "events")

@@ -537,12 +537,12 @@ def wall_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     """SELECT event_id,
-              strftime(make_timestamp((1451695252003 + event_id * 86399977) * 1000),
+              strftime(make_timestamp((1446300000007 + event_id * 86399977) * 1000),
                        '%Y-%m-%d %H:%M:%SZ') AS timestamp_dts
        FROM events"""
 )
 def epoch_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ms = F.col("event_id") * 86399977 + 1451695252003
+    ms = F.col("event_id") * 86399977 + 1446300000007
     return table(spark, sf_dir, "events").select(
         "event_id", epoch_ms_text(ms).alias("timestamp_dts")
     )
@@ -712,9 +712,9 @@ def game_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT '2015-2016' AS season, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS gameid,
            e + 1 AS eventid, m AS moment_num,
-           strftime(make_timestamp((1451695252003 + o_orderkey * 40 + m) * 1000),
+           strftime(make_timestamp((1446300000007 + o_orderkey * 40 + m) * 1000),
                     '%Y-%m-%d %H:%M:%SZ') AS timestamp_dts,
-           1451695252003 + o_orderkey * 40 + m AS timestamp_utc,
+           1446300000007 + o_orderkey * 40 + m AS timestamp_utc,
            o_orderkey % 4 + 1 AS period, o_orderkey % 721 + 0.5::DOUBLE AS periodclock,
            CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey % 25 + m AS DOUBLE) END AS shotclock,
            CASE k WHEN 0 THEN -1 ELSE o_orderkey * 2 END AS teamid,
@@ -1141,3 +1141,131 @@ def replace_empty_game(spark: SparkSession, sf_dir: str) -> DataFrame:
     loads.refresh_derived(kept, path, log, "t2", games=asked)
     schema = "season string, gameid string, o_orderkey bigint, o_totalprice double, o_orderpriority string"
     return readers.read_table(spark, path, schema)
+
+
+# Loads of written files --------------------------------------------------------------
+
+
+def _load_tracking(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    target, log = scratch_path(spark, "tables"), scratch_path(spark, "tables-log")
+    files = documents.tracking_files(spark, sf_dir)
+    loads.load_tracking(spark, files, target, log, "t1", multiline=False)
+    return target, log
+
+
+@_query(
+    "SELECT * REPLACE (lpad(CAST(CAST(gameid AS BIGINT) % 50 AS VARCHAR), 10, '0') AS gameid)"
+    f" FROM ({SQL['flatten_positions']}) WHERE CAST(gameid AS BIGINT) % 7 > 0"
+)
+def load_tracking_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracking files, broken documents among them → positions by game, read back."""
+    target, _ = _load_tracking(spark, sf_dir)
+    return readers.read_table(spark, f"{target}/gameposition", schemas.GAME_POSITION)
+
+
+@_query(
+    """SELECT CASE WHEN o_orderkey % 7 > 0
+                   THEN lpad(CAST(o_orderkey % 50 AS VARCHAR), 10, '0') END AS gameid,
+              CASE WHEN o_orderkey % 7 > 0 THEN 1 ELSE 0 END AS gameposition_uploadedFLG,
+              't1' AS lastuploadDTS, count(*) AS documents
+       FROM orders GROUP BY ALL"""
+)
+def load_tracking_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest says about these files, the broken documents without a game."""
+    _, log = _load_tracking(spark, sf_dir)
+    manifest = writers.load_manifest(spark, log, schemas.TRACKING_MANIFEST)
+    return manifest.groupBy("gameid", "gameposition_uploadedFLG", "lastuploadDTS").agg(
+        F.count("*").alias("documents")
+    )
+
+
+_ASKED_GAMES = """
+SELECT '2015-16' AS season, lpad(CAST(c_custkey % 45 AS STRING), 10, '0') AS game_id,
+       '2016-03-' || lpad(CAST(c_custkey % 45 % 28 + 1 AS STRING), 2, '0') AS game_date,
+       'A' || CAST(c_custkey % 45 % 7 AS STRING) AS team1,
+       'B' || CAST(c_custkey % 45 % 5 AS STRING) AS team2
+FROM {customer}
+"""
+_GAME_OF_40 = "lpad(CAST(CAST(gameid AS BIGINT) % 40 AS VARCHAR), 10, '0')"
+
+
+def _load_stats(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    target, log = scratch_path(spark, "tables"), scratch_path(spark, "tables-log")
+    games = loads.games_between(adapt(spark, sf_dir, _ASKED_GAMES), end="2016-03-24")
+    files = documents.play_by_play_files(spark, sf_dir)
+    loads.load_stats(
+        spark, files, target, "playbyplay", games, log, "t1", base_url="u", multiline=False
+    )
+    return target, log
+
+
+@_query(
+    _with(pbp=PLAY_BY_PLAY, asked=_ASKED_GAMES)
+    + f"""SELECT {_GAME_OF_40} AS gameid, {", ".join(_PBP_COLUMNS)}, '2015-2016' AS season
+          FROM pbp WHERE eventnum % 11 > 0
+          AND {_GAME_OF_40} IN (SELECT game_id FROM asked WHERE game_date <= '2016-03-24')"""
+)
+def load_stats_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play-by-play responses, broken ones among them → the table of the games asked for."""
+    target, _ = _load_stats(spark, sf_dir)
+    schema = schemas.PLAY_BY_PLAY.replace("game_id string, ", "") + ", season string, gameid string"
+    return readers.read_table(spark, f"{target}/playbyplay", schema)
+
+
+@_query(
+    _with(pbp=PLAY_BY_PLAY, asked=_ASKED_GAMES)
+    + f"""SELECT DISTINCT season, game_date, game_id, team1, team2,
+                 CASE WHEN game_id IN (SELECT {_GAME_OF_40} FROM pbp WHERE eventnum % 11 > 0)
+                      THEN 1 ELSE 0 END AS fileuploadedFLG,
+                 't1' AS lastuploadDTS, 'u' AS base_url, '' AS params
+          FROM asked WHERE game_date <= '2016-03-24'"""
+)
+def load_stats_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the games asked for have a usable response."""
+    _, log = _load_stats(spark, sf_dir)
+    return writers.load_manifest(spark, log, schemas.STATS_MANIFEST)
+
+
+@_query(SQL["event_code_rows"])
+def event_code_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """XML files → event codes."""
+    files = documents.event_code_files(spark, sf_dir)
+    return event_codes.event_codes(readers.read_event_codes(spark, files))
+
+
+_CSV_SCHEMA = "c_custkey bigint, c_name string, c_acctbal double"
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A table of the customers with a positive balance, and all customers as CSV, those of
+    every third key a second time under another name."""
+    stored, csv = scratch_path(spark, "customer"), scratch_path(spark, "customer-csv")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    rows.where("c_acctbal > 0").write.parquet(stored)
+    again = rows.where("c_custkey % 3 = 0").withColumn("c_name", F.concat(F.lit("A"), "c_name"))
+    writers.write_csv(rows.unionByName(again), csv)
+    return stored, csv
+
+
+@_query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 AND c_acctbal <= 0 THEN 'A' ELSE '' END
+              || c_name AS c_name, c_acctbal FROM customer"""
+)
+def insert_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV file into a table with a key: one row for each key that the table lacks."""
+    stored, csv = _customers(spark, sf_dir)
+    loads.insert_csv(spark, csv, stored, _CSV_SCHEMA, ["c_custkey"], ["c_name"])
+    return readers.read_table(spark, stored, _CSV_SCHEMA)
+
+
+@_query(
+    """SELECT c_custkey, c_name, c_acctbal FROM customer
+       UNION ALL SELECT c_custkey, 'A' || c_name, c_acctbal FROM customer WHERE c_custkey % 3 = 0
+       UNION ALL SELECT DISTINCT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0"""
+)
+def append_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV file onto a table without a key."""
+    stored, csv = _customers(spark, sf_dir)
+    target = scratch_path(spark, "customer-new")
+    loads.append_csv_distinct(spark, csv, stored, _CSV_SCHEMA, target)
+    return readers.read_table(spark, target, _CSV_SCHEMA)

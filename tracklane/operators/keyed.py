@@ -69,6 +69,14 @@ def latest_rows(log: DataFrame, keys, newest) -> DataFrame:
     return latest.drop("_n", newest[0])
 
 
+def latest_batches(log: DataFrame, keys, newest) -> DataFrame:
+    """All rows that the latest batch has for each key. The first of ``newest`` tells the
+    batch and is dropped."""
+    window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in newest])
+    latest = log.withColumn("_n", F.rank().over(window)).where("_n = 1")
+    return latest.drop("_n", newest[0])
+
+
 def append_manifest(manifest: DataFrame, rows: DataFrame, **constants) -> DataFrame:
     """Add ``rows`` to the manifest with constant columns (flag, time stamp, url,
     parameters) filled in from keyword arguments."""

@@ -170,6 +170,7 @@ def load_stats(
     season: str = result_sets.SEASON,
     base_url: str = "",
     params: str = "",
+    multiline: bool = True,
 ) -> DataFrame:
     """Stats responses of one kind → its table. Returns the responses that could not be
     parsed as a whole; they write no rows.
@@ -178,7 +179,7 @@ def load_stats(
     (see ``games_between``) names the games to load and fills the manifest; a game
     without a usable response is flagged 0.
     """
-    docs = read_result_sets(spark, source)
+    docs = read_result_sets(spark, source, multiline)
     good = docs.where(usable())
     if kind == "playbyplay":
         rows = result_sets.play_by_play(good, season)

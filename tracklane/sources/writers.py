@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklane.operators.keyed import check_columns, latest_rows
+from tracklane.operators.keyed import check_columns, latest_batches, latest_rows
 from tracklane.sources.readers import APPENDED, EMPTIED, GAME_PARTITION, emptied_games, read_log
 from tracklane.sources.schemas import (
     DERIVED_MANIFEST,
@@ -99,12 +99,15 @@ def mark_emptied(path: str, asked: DataFrame, made: DataFrame) -> None:
 
 
 def load_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The manifest that the log at ``path`` amounts to: the latest row of each key, or all
-    rows where a manifest has no key; empty if there is no log. Fails when the columns differ."""
+    """The manifest that the log at ``path`` amounts to: the latest row of each key, the latest
+    load's rows of each tracking file, or all rows where a manifest has no key; empty if there is no log. Fails when the columns differ."""
     names = [n for n, _ in columns(schema)]
     log = read_log(spark, path, schema)
     if APPENDED not in log.columns:
         log = log.withColumn(APPENDED, F.lit(None).cast("timestamp"))
     check_columns(log.drop(APPENDED), names)
+    if schema == TRACKING_MANIFEST:
+        # a file of many documents has many rows
+        return latest_batches(log, [MANIFEST_KEYS[schema]], [APPENDED, "lastuploadDTS"])
     key = MANIFEST_KEYS.get(schema)
     return latest_rows(log, [key], [APPENDED, "lastuploadDTS"]) if key else log.drop(APPENDED)
