@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,3 +179,58 @@ def test_hubs_are_not_brought_to_one_task(spark, monkeypatch, rows_per_task):
     want = dict.fromkeys(range(900), 0) | dict.fromkeys(range(3000, 3600), 3000)
     want |= dict.fromkeys((5000, 7000, 7001), 3000) | dict.fromkeys(range(9000, 9051), 9000)
     assert got == want
+
+
+@pytest.mark.parametrize("block", [1, 64])
+def test_links_of_one_cell(monkeypatch, block):
+    """They connect what all links between groups of a family connect, and nothing else."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    sets, rows = [], []
+    for k in range(60):
+        # two families; every third set is a slight change of an earlier one
+        new = rng.integers(0, 2**63, 40 + k, np.uint64)
+        if k % 3:
+            new = sets[k - 1 - k % 2].copy()
+            new[rng.choice(len(new), 3, replace=False)] += np.uint64(1)
+        sets.append(np.unique(new))
+        root = sets[k - k % 2].tobytes()[:16]
+        rows.append((bytes([k % 2]), k.to_bytes(16), root, minhash.sketch(sets[k]), sets[k]))
+    family, node, root, sketches, shingles_of = zip(*rows, strict=True)
+    lists = pa.list_(pa.int64())
+    x = pa.table({
+        "family": pa.array(family, pa.binary()), "node": pa.array(node, pa.binary()),
+        "root": pa.array(root, pa.binary()),
+        "sketch": pa.array([v.tolist() for v in sketches], lists),
+        "shingles": pa.array([v.view(np.int64).tolist() for v in shingles_of], lists),
+    })
+
+    def linked(i, j):
+        both = overlap(sets[i], sets[j])
+        return 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both)
+
+    def groups(pairs):
+        at = {r: r for r in root}
+        for i, j in pairs:
+            old, new = at[root[i]], at[root[j]]
+            at = {r: new if v == old else v for r, v in at.items()}
+        return {frozenset(r for r in at if at[r] == v) for v in at.values()}
+
+    every = [
+        (i, j) for i in range(60) for j in range(60)
+        if family[i] == family[j] and root[i] != root[j] and linked(i, j)
+    ]
+    assert len(every) > 10
+    for once in (True, False):
+        found = minhash._links_of_cell(x, x, 80, once).to_pylist()
+        pairs = [(int.from_bytes(r["a"]), int.from_bytes(r["b"])) for r in found]
+        assert set(pairs) <= set(every) and len(pairs) < len(every)
+        assert groups(pairs) == groups(every)
+    assert len(minhash._links_of_cell(x, x.slice(0, 0), 80, False)) == 0
+
+
+def test_cells_are_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CELL_SHINGLES", 3000)
+    df = family(spark)
+    rows = [tuple(r) for r in df.collect()]
+    assert found(df, 4) == brute(rows, 4)

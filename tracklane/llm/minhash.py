@@ -9,8 +9,9 @@ Candidates come from buckets in two steps. Every bucket becomes a star around th
 that shares most buckets with others, so its pairs are as many as its members. Links are
 confirmed on the full shingle sets and connected into groups; candidates, links or not, are
 connected into families. What is left are pairs of one family in different groups. Each of
-them is compared inside a join on the family that only links leave: first by set sizes and
-sketches of 1024 bits, then, if these allow a link, on the full sets. The number of pairs is
+them is compared inside a cell of bounded size that only links leave: first by set sizes and
+sketches of 1024 bits, then, if these allow a link, on the full sets, unless earlier pairs of
+the cell have connected their groups. The number of pairs is
 counted before: beyond ``COMPARED_PER_DOCUMENT`` times the documents, random members are
 compared with all others of their families, as many as keep within it, and retire; this
 repeats until no pair is left. So no pair of a bucket is lost, no pairs are written out, and
@@ -47,13 +48,16 @@ PROBES = 4096
 SKETCH_BITS, SKETCH_PROBES = 1024, 2048
 #: Sketches that one step may compare, for each document that has candidates.
 COMPARED_PER_DOCUMENT = 4096
-#: Members of a family on either side of one task's comparisons.
+#: Members of a family on either side of one group's comparisons, and the shingles they may have.
 CELL = 2048
+CELL_SHINGLES = 4 << 20
+#: Rows of sketches that are held against a cell's other side at once.
+BLOCK = 64
 #: Most bytes of the list of documents with candidates that is sent to every task.
 BROADCAST_BYTES = 8 << 20
 
 
-_COMPARED = ("node", "root", "sketch", "shingles")
+_COMPARED = ("family", "node", "root", "sketch", "shingles")
 
 
 class Bins:
@@ -245,45 +249,130 @@ def _of_members(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _in_several_groups(nodes: DataFrame, links: DataFrame, most: int) -> DataFrame:
-    """Nodes (node, family) with their group, of the families that have more than one; and
-    ``others``, the number of nodes of the family that are in other groups; and ``cells``, the
-    parts that a large family is dealt into. There are ``most`` nodes at most."""
+    """Nodes (node, family, n shingles) with their group, of the families that have more than
+    one; and ``others``, the number of nodes of the family that are in other groups; and
+    ``cells``, the parts that a large family is dealt into. There are ``most`` nodes at most."""
     roots = components(links)
     found = nodes.join(roots, "node", "left").select(
-        "node", "family", F.coalesce("root", "node").alias("root")
+        "node", "family", "n", F.coalesce("root", "node").alias("root")
     )
-    groups = found.groupBy("family", "root").agg(F.count("*").alias("own"))
+    groups = found.groupBy("family", "root").agg(F.count("*").alias("own"), F.sum("n").alias("n"))
     families = groups.groupBy("family").agg(
-        F.count("*").alias("groups"), F.sum("own").alias("all")
+        F.count("*").alias("groups"), F.sum("own").alias("all"), F.sum("n").alias("n")
     ).where("groups > 1")
-    groups = groups.join(families, "family").select(
+    parts = F.greatest(F.ceil(F.col("all") / CELL), F.ceil(F.col("n") / CELL_SHINGLES))
+    groups = groups.drop("n").join(families, "family").select(
         "family", "root", (F.col("all") - F.col("own")).alias("others"),
-        F.ceil(F.col("all") / CELL).cast("int").alias("cells"),
+        parts.cast("int").alias("cells"),
     )
     return settle_small(found.join(groups, ["family", "root"]), most)
 
 
-def _between_groups(nodes: DataFrame, some: DataFrame, percent: int, both_ways: bool):
-    """Links (a, b) of one family, ``a`` a node and ``b`` one of ``some``, between groups.
+def _codes(x: pa.Table, y: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """A column of both tables as numbers, equal ones for equal values."""
+    both = pa.chunked_array([*x[name].chunks, *y[name].chunks], x.schema.field(name).type)
+    numbers = both.combine_chunks().dictionary_encode().indices.to_numpy()
+    return numbers[: len(x)], numbers[len(x) :]
+
+
+def _lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The lists of a column in one array, and where each of them starts and the last ends."""
+    lists = table[name].combine_chunks()
+    ends = np.append(0, np.cumsum(lists.value_lengths().to_numpy().astype(np.int64)))
+    return lists.flatten().to_numpy().view(np.uint64), ends
+
+
+def _overlaps(one: np.ndarray, values: np.ndarray, ends: np.ndarray, some: np.ndarray):
+    """Sizes of the intersections of a sorted set with the sets ``some`` of those in ``values``."""
+    size = ends[some + 1] - ends[some]
+    starts = np.cumsum(size) - size
+    of_some = values[np.arange(size.sum()) + np.repeat(ends[some] - starts, size)]
+    at = np.minimum(np.searchsorted(one, of_some), len(one) - 1)
+    return np.add.reduceat((one[at] == of_some).astype(np.int64), starts)
+
+
+def _links_of_cell(x: pa.Table, y: pa.Table, percent: int, once: bool) -> pa.Table:
+    """Links (a, b) between a row of ``x`` and one of ``y`` of the same family in different
+    groups, as many as connect what all of them connect. With ``once`` both hold the same
+    nodes, and every pair is looked at from one side."""
+    a, b = [], []
+    if len(x) and len(y):
+        (x_family, y_family), (x_node, y_node) = _codes(x, y, "family"), _codes(x, y, "node")
+        x_group, y_group = _codes(x, y, "root")
+        joined = np.arange(max(x_group.max(), y_group.max()) + 1)
+        (x_sets, x_ends), (y_sets, y_ends) = _lists(x, "shingles"), _lists(y, "shingles")
+        x_size, y_size = np.diff(x_ends), np.diff(y_ends)
+        x_bits = _lists(x, "sketch")[0].reshape(len(x), -1)
+        y_bits = _lists(y, "sketch")[0].reshape(len(y), -1)
+        most_apart = SKETCH_BITS - _least_agreement(percent)
+        x_order, y_order = np.argsort(x_family), np.argsort(y_family)
+        for family in np.unique(x_family):
+            first, last = np.searchsorted(x_family, (family, family + 1), sorter=x_order)
+            rows = x_order[first:last]
+            first, last = np.searchsorted(y_family, (family, family + 1), sorter=y_order)
+            others = y_order[first:last]
+            for at in range(0, len(rows), BLOCK):
+                block = rows[at : at + BLOCK, None]
+                fits = 100 * np.minimum(x_size[block], y_size[others]) >= percent * np.maximum(
+                    x_size[block], y_size[others]
+                )
+                fits &= x_group[block] != y_group[others]
+                if once:
+                    fits &= x_node[block] < y_node[others]
+                apart = np.zeros(fits.shape, np.uint16)
+                for k in range(SKETCH_BITS // 64):
+                    apart += np.bitwise_count(x_bits[block, k] ^ y_bits[others, k])
+                fits &= apart <= most_apart
+                for i in np.flatnonzero(fits.any(axis=1)):
+                    row, some = block[i, 0], others[fits[i]]
+                    # what earlier pairs connect need not be connected again
+                    some = some[joined[y_group[some]] != joined[x_group[row]]]
+                    if not len(some):
+                        continue
+                    one = x_sets[x_ends[row] : x_ends[row + 1]]
+                    both = _overlaps(one, y_sets, y_ends, some)
+                    linked = 100 * both >= percent * (len(one) + y_size[some] - both)
+                    for other in some[linked]:
+                        old, new = joined[y_group[other]], joined[x_group[row]]
+                        if old != new:
+                            joined[joined == old] = new
+                            a.append(row)
+                            b.append(other)
+    a, b = pa.array(a, pa.int64()), pa.array(b, pa.int64())
+    return pa.table({"a": x["node"].take(a), "b": y["node"].take(b)})
+
+
+def _between_groups(
+    nodes: DataFrame, some: DataFrame, percent: int, both_ways: bool, buckets: int
+) -> DataFrame:
+    """Links (a, b) of one family, ``a`` a node and ``b`` one of ``some``, between groups, that
+    connect what all such links connect; ``some`` are all nodes unless ``both_ways``.
 
     A large family is dealt to a grid: a node on the left goes to all cells of its row, one on
-    the right to all of its column, so that every pair meets in one cell.
+    the right to all of its column, so that every pair meets in one cell; of the same nodes on
+    both sides, half of the grid is enough. Small families share ``buckets`` of one cell each.
     """
     own = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
-    x = nodes.select("family", *[F.col(c).alias(f"x_{c}") for c in _COMPARED],
-                     own.alias("row"), every.alias("column"))
-    y = some.select("family", *[F.col(c).alias(f"y_{c}") for c in _COMPARED],
-                    every.alias("row"), own.alias("column"))
-    order = F.lit(True) if both_ways else F.col("x_node") < F.col("y_node")
-    sizes = F.size("x_shingles"), F.size("y_shingles")
-    both = F.size(F.array_intersect("x_shingles", "y_shingles"))
+    last = F.col("cells") - 1
+    after = F.sequence(F.lit(0) if both_ways else own, last)
+    before = F.sequence(F.lit(0), last if both_ways else own)
+    place = F.xxhash64("family")
+    place = F.when(F.col("cells") > 1, place).otherwise(F.pmod(place, F.lit(buckets)))
+    where = ("place", "row", "column")
+    place = place.alias("place")
+    x = nodes.select(*_COMPARED, place, own.alias("row"), F.explode(after).alias("column"))
+    y = some.select(
+        *[F.col(c).alias(f"of_{c}") for c in _COMPARED],
+        place, F.explode(before).alias("row"), own.alias("column"),
+    )
+
+    def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        same = key[1].as_py() == key[2].as_py()
+        right = right.rename_columns([name.removeprefix("of_") for name in right.column_names])
+        return _links_of_cell(left, right, percent, same and not both_ways)
+
     return (
-        x.join(y, ["family", "row", "column"])
-        .where(order & (F.col("x_root") != F.col("y_root")))
-        .where(_may_link(sizes, ("x_sketch", "y_sketch"), percent))
-        .where(100 * both >= percent * (sizes[0] + sizes[1] - both))
-        .select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
+        x.groupBy(*where).cogroup(y.groupBy(*where)).applyInArrow(compare, "a binary, b binary")
     )
 
 
@@ -296,11 +385,13 @@ def links_of(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     most = members.count()
     candidates = settle_small(_stars(members), most)
     families = components(candidates).select("node", F.col("root").alias("family"))
+    sizes = sets.select("node", F.size("shingles").cast("long").alias("n"))
     likely = settle_small(_of_members(candidates, sets, percent), most)
     links = settle(_confirmed(likely, sets, percent))
-    all_sets = sets.count()
+    all_sets, shingles = sizes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     limit = COMPARED_PER_DOCUMENT * all_sets
-    nodes = families
+    buckets = 1 + max(4 * all_sets // CELL, shingles // CELL_SHINGLES)
+    nodes = families.join(sizes, "node")
     for step in range(1, 1 << 20):
         nodes = _in_several_groups(nodes, links, all_sets)
         # every pair is counted from both sides
@@ -309,13 +400,14 @@ def links_of(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             break
         full = nodes.join(sets, "node")
         if pairs <= limit:
-            return links.unionByName(settle(_between_groups(full, full, percent, False)))
+            last = _between_groups(full, full, percent, False, buckets)
+            return links.unionByName(settle(last))
         chosen = F.pmod(F.xxhash64(F.lit(step), "node"), F.lit(1 << 30)) < F.lit(
             max(1, int((1 << 30) * limit / (2 * pairs)))
         )
-        new = _between_groups(full, full.where(chosen), percent, True)
+        new = _between_groups(full, full.where(chosen), percent, True, buckets)
         links = links.unionByName(settle(new))
-        nodes = nodes.where(~chosen).select("node", "family")
+        nodes = nodes.where(~chosen).select("node", "family", "n")
     return links
 
 
