@@ -421,3 +421,21 @@ def test_writers_use_no_internals():
     import inspect
 
     assert "_jvm" not in inspect.getsource(writers) and "toLocalIterator" not in inspect.getsource(writers)
+
+
+def test_games_that_a_response_names(spark):
+    rows = [["1", "0021"], ["2", None], ["3", "0022"], ["4", "0021"], ["5"], None]
+    docs = spark.createDataFrame(
+        [
+            (1, [("A", ["N", "Game_ID"], rows), ("B", None, [["0023"]]), ("C", ["GAME_ID"], None)]),
+            (2, [("D", ["X"], [["0024"]]), None]),
+            (3, None),
+        ],
+        "k int, resultSets array<struct<name:string,headers:array<string>,"
+        "rowSet:array<array<string>>>>",
+    )
+    found = docs.select("k", result_sets.game_ids().alias("ids")).collect()
+    ids = {r.k: sorted(r.ids or []) for r in found}
+    assert ids == {1: ["0021", "0022"], 2: [], 3: []}
+    typed = result_sets.result_sets_to_df(docs, "game_id string").where("game_id IS NOT NULL")
+    assert {r.game_id for r in typed.collect()} == {"0021", "0022"}

@@ -177,9 +177,15 @@ def load_stats(
 
     ``kind`` is playbyplay, boxscore_traditional or boxscore_player. ``games``
     (see ``games_between``) names the games to load and fills the manifest; a game
-    without a usable response is flagged 0.
+    without a usable response is flagged 0. The responses are read twice: once for the
+    games that they name and what is broken, and once for their rows.
     """
     docs = read_result_sets(spark, source, multiline)
+    # All columns are read, as Spark only notices what is wrong in columns that it reads.
+    heads = settle(docs.select(
+        "input_filename", CORRUPT, F.isnull("resource"),
+        F.when(usable(), result_sets.game_ids()).alias("game_ids"),
+    ))
     good = docs.where(usable())
     if kind == "playbyplay":
         rows = result_sets.play_by_play(good, season)
@@ -189,7 +195,8 @@ def load_stats(
     rows = rows.join(games.select("game_id"), "game_id", "left_semi")
     write_table(_as_game_table(rows), f"{target}/{kind}")
 
-    present = rows.select("game_id", F.lit(1).alias("_found")).distinct()
+    named = heads.select(F.explode("game_ids").alias("game_id")).distinct()
+    present = named.withColumn("_found", F.lit(1))
     done = games.join(present, "game_id", "left").select(
         "season",
         "game_date",
@@ -202,7 +209,7 @@ def load_stats(
         F.lit(params).alias("params"),
     )
     record(done, manifest_path, schemas.STATS_MANIFEST)
-    return _broken(docs)
+    return heads.where(~usable()).select("input_filename", CORRUPT)
 
 
 def insert_csv(

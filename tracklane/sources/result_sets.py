@@ -11,6 +11,22 @@ from tracklane.sources import schemas
 SEASON = "2015-16"
 
 
+def _lowered(headers) -> Column:
+    return F.transform(headers, lambda h: F.lower(h))
+
+
+def game_ids(sets="resultSets") -> Column:
+    """The distinct games that the rows of a response's sets name, without NULL."""
+
+    def of_set(s: Column) -> Column:
+        at = (F.array_position(_lowered(s["headers"]), F.lit("game_id")) - 1).cast("int")
+        return F.transform(s["rowSet"], lambda row: F.get(row, at))
+
+    # a set without rows or headers names none, and NULL would empty the whole list
+    found = F.transform(sets, lambda s: F.coalesce(of_set(s), F.array().cast("array<string>")))
+    return F.array_compact(F.array_distinct(F.flatten(found)))
+
+
 def result_sets_to_df(docs: DataFrame, ddl: str, season: str = SEASON) -> DataFrame:
     """All result sets of all documents under one set of columns.
 
