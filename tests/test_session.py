@@ -34,3 +34,7 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+
+
+def test_stages_stay_within_what_the_compiler_takes(spark):
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
