@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import documents
 from tracklane.plans import loads
 from tracklane.plans.closest import closest_to_ball
 from tracklane.sources import event_codes, legacy, readers, result_sets, schemas, tracking, writers
@@ -439,3 +440,40 @@ def test_games_that_a_response_names(spark):
     assert ids == {1: ["0021", "0022"], 2: [], 3: []}
     typed = result_sets.result_sets_to_df(docs, "game_id string").where("game_id IS NOT NULL")
     assert {r.game_id for r in typed.collect()} == {"0021", "0022"}
+
+
+def test_headers_are_found_in_any_case_and_the_first_counts(spark, rows):
+    """A NULL header, one that comes twice, a set without rows and one without headers."""
+    sets = [
+        ("a", [None, "PTS", "Game_ID", "pts"], [["x", "1", "g1", "2"], ["x", None, "g2", "3"]]),
+        ("b", ["game_id"], []),
+        ("c", None, [["g3"]]),
+        ("d", ["REB"], [["7"]]),
+    ]
+    schema = schemas.RESULT_SET_DOCUMENT
+    docs = spark.createDataFrame([(None, sets), (None, None), (None, [None])], schema)
+    table = result_sets.result_sets_to_df(docs, "game_id string, pts bigint")
+    assert rows(table, "result_set", "game_id", "pts") == [
+        ("a", "g1", 1), ("a", "g2", None), ("c", None, None), ("d", None, None),
+    ]
+
+
+def test_sets_are_expanded_without_being_rebuilt(spark):
+    docs = spark.createDataFrame([(None, [("a", ["PTS"], [["1"]])])], schemas.RESULT_SET_DOCUMENT)
+    plan = result_sets.result_sets_to_df(docs, "pts bigint")._jdf.queryExecution().toString()
+    optimized = plan.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert not [line for line in optimized.split("\n") if "explode(transform" in line]
+
+
+def test_documents_are_made_by_as_many_tasks_as_shuffles_have(spark, tmp_path):
+    """Adaptive execution does not merge them, and each text is made before it is parsed."""
+    table = spark.range(200).selectExpr("id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey",
+                                        "CAST(id AS INT) AS l_linenumber", "1.5D AS l_quantity",
+                                        "2D AS l_extendedprice", "0.1D AS l_discount",
+                                        "'R' AS l_returnflag")
+    table.write.parquet(str(tmp_path / "lineitem.parquet"))
+    docs = documents.box_score_documents(spark, str(tmp_path), "traditional")
+    assert docs.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Generate" in line and "concat(" in line]
+    assert docs.count() == 200

@@ -35,22 +35,23 @@ def result_sets_to_df(docs: DataFrame, ddl: str, season: str = SEASON) -> DataFr
     found once, before its rows are expanded.
     """
     wanted = schemas.columns(ddl)
-    # Headers are lowered before the sets are expanded: afterwards the positions
-    # below would lower them again for every column.
-    lowered = F.transform(
-        "resultSets",
-        lambda s: F.struct(
-            s["name"].alias("name"),
-            F.transform(s["headers"], lambda h: F.lower(h)).alias("headers"),
-            s["rowSet"].alias("rows"),
-        ),
-    )
-    placed = docs.select(F.explode(lowered).alias("s")).select(
+    hashed = docs.select(F.explode("resultSets").alias("s")).select(
         F.col("s.name").alias("result_set"),
-        F.col("s.rows").alias("_rows"),
-        F.array(
-            *[(F.array_position("s.headers", F.lit(n)) - 1).cast("int") for n, _ in wanted]
-        ).alias("_at"),
+        F.col("s.rowSet").alias("_rows"),
+        F.col("s.headers").alias("_headers"),
+        F.transform("s.headers", lambda h: F.xxhash64(F.lower(h))).alias("_hashes"),
+    )
+
+    # Numbers compare faster than texts, and most columns are missing in most sets: positions
+    # are found by hash, and one that holds another text is looked for by the text itself.
+    def place(name: str) -> Column:
+        at = F.array_position("_hashes", F.xxhash64(F.lit(name)))
+        same = F.lower(F.get("_headers", (at - 1).cast("int"))) == F.lit(name)
+        by_text = F.array_position(_lowered("_headers"), F.lit(name))
+        return (F.when((at == 0) | same, at).otherwise(by_text) - 1).cast("int")
+
+    placed = hashed.select(
+        "result_set", "_rows", F.array(*[place(n) for n, _ in wanted]).alias("_at")
     )
     rows = placed.select("result_set", "_at", F.explode("_rows").alias("_row"))
 
